@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import artifacts
+from . import artifacts, relational, retrieval, text
 
-MODULES = [artifacts]
+MODULES = [artifacts, text, relational, retrieval]
 
 
 def queries():
