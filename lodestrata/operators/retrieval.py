@@ -27,7 +27,7 @@ def dense_topk(points: DataFrame, queries: DataFrame, *, k: int, id: str = "vec_
     for at in range(0, max(1, len(ids)), QUERIES):
         some = ids[at : at + QUERIES]
         rows = queries.where(F.col(id).isin(some)).select(id, vector).dropDuplicates([id]).collect() if some else []
-        matrix = np.array([r[1] for r in rows], np.float64).reshape(len(rows), -1)
+        matrix = np.array([r[1] for r in rows], np.float64) if rows else np.zeros((0, 1))
         matrix /= np.maximum(np.linalg.norm(matrix, axis=1, keepdims=True), 1e-12)
         held = spark.sparkContext.broadcast((np.array([r[0] for r in rows]), matrix))
 

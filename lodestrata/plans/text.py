@@ -13,7 +13,7 @@ book = Book()
 queries = lambda: book.queries
 oracle_sql = lambda: book.sql
 
-T = F.col("text")
+T = lambda: F.col("text")  # noqa: E731 - columns need a session
 
 
 def sq(value: str) -> str:
@@ -60,48 +60,48 @@ def r6(c: Column) -> Column:
 
 @book.add(f"SELECT doc_id, length(c) AS cleaned_chars, sha256(c) AS cleaned_hash FROM (SELECT doc_id, {_boiler('text', X.BOILERPLATE)} AS c FROM {DOC} d WHERE text IS NOT NULL)")
 def remove_boilerplate(t):
-    c = X.remove_boilerplate(T)
-    return t("documents").where(T.isNotNull()).select("doc_id", c.alias("c")).select("doc_id", F.char_length("c").cast("bigint").alias("cleaned_chars"), F.sha2("c", 256).alias("cleaned_hash"))
+    c = X.remove_boilerplate(T())
+    return t("documents").where(T().isNotNull()).select("doc_id", c.alias("c")).select("doc_id", F.char_length("c").cast("bigint").alias("cleaned_chars"), F.sha2("c", 256).alias("cleaned_hash"))
 
 
 @book.add(f"SELECT parsed_id, length(c) AS cleaned_chars, sha256(c) AS cleaned_hash FROM (SELECT parsed_id, {_boiler('text', X.BOILERPLATE)} AS c FROM {PARSED} d WHERE text IS NOT NULL)")
 def clean_parsed_text(t):
-    return t("parsed_docs").where(T.isNotNull()).select("parsed_id", X.remove_boilerplate(T).alias("c")).select("parsed_id", F.char_length("c").cast("bigint").alias("cleaned_chars"), F.sha2("c", 256).alias("cleaned_hash"))
+    return t("parsed_docs").where(T().isNotNull()).select("parsed_id", X.remove_boilerplate(T()).alias("c")).select("parsed_id", F.char_length("c").cast("bigint").alias("cleaned_chars"), F.sha2("c", 256).alias("cleaned_hash"))
 
 
 @book.add(f"SELECT doc_id, sha256({NORM('text')}) AS h FROM {DOC} d WHERE text IS NOT NULL")
 def normalize_ws(t):
-    return t("documents").where(T.isNotNull()).select("doc_id", F.sha2(X.normalize_whitespace(T), 256).alias("h"))
+    return t("documents").where(T().isNotNull()).select("doc_id", F.sha2(X.normalize_whitespace(T()), 256).alias("h"))
 
 
 @book.add(f"SELECT chunk_id, {TOK} AS tokens, {TOK} >= 3 AS passed FROM {CH} c")
 def pred_token_floor(t):
-    return t("chunks").select("chunk_id", X.token_count(T).alias("tokens"), (X.token_count(T) >= 3).alias("passed"))
+    return t("chunks").select("chunk_id", X.token_count(T()).alias("tokens"), (X.token_count(T()) >= 3).alias("passed"))
 
 
 @book.add(f"SELECT chunk_id, round({ALPHA}, 6) AS ratio, coalesce({ALPHA} >= 0.5, false) AS passed FROM {CH} c")
 def pred_alpha_ratio(t):
-    return t("chunks").select("chunk_id", r6(X.alpha_ratio(T)).alias("ratio"), F.coalesce(X.alpha_ratio(T) >= 0.5, F.lit(False)).alias("passed"))
+    return t("chunks").select("chunk_id", r6(X.alpha_ratio(T())).alias("ratio"), F.coalesce(X.alpha_ratio(T()) >= 0.5, F.lit(False)).alias("passed"))
 
 
 @book.add(f"SELECT chunk_id, round({LINKS}, 6) AS density, {NW('text')} < 6 OR {LINKS} <= 0.3 AS passed FROM {CH} c")
 def pred_link_density(t):
-    return t("chunks").select("chunk_id", r6(X.link_density(T)).alias("density"), ((X.n_words(T) < 6) | (X.link_density(T) <= 0.3)).alias("passed"))
+    return t("chunks").select("chunk_id", r6(X.link_density(T())).alias("density"), ((X.n_words(T()) < 6) | (X.link_density(T()) <= 0.3)).alias("passed"))
 
 
 @book.add(f"SELECT chunk_id, round({STOP}, 6) AS ratio, {NW('text')} < 6 OR {STOP} >= 0.05 AS passed FROM {CH} c")
 def pred_stopword_ratio(t):
-    return t("chunks").select("chunk_id", r6(X.stopword_ratio(T)).alias("ratio"), ((X.n_words(T) < 6) | (X.stopword_ratio(T) >= 0.05)).alias("passed"))
+    return t("chunks").select("chunk_id", r6(X.stopword_ratio(T())).alias("ratio"), ((X.n_words(T()) < 6) | (X.stopword_ratio(T()) >= 0.05)).alias("passed"))
 
 
 @book.add(f"SELECT chunk_id, round({TERM}, 6) AS ratio, {NW('text')} < 6 OR {TERM} >= 0.02 AS passed FROM {CH} c")
 def pred_terminal_punct(t):
-    return t("chunks").select("chunk_id", r6(X.terminal_ratio(T)).alias("ratio"), ((X.n_words(T) < 6) | (X.terminal_ratio(T) >= 0.02)).alias("passed"))
+    return t("chunks").select("chunk_id", r6(X.terminal_ratio(T())).alias("ratio"), ((X.n_words(T()) < 6) | (X.terminal_ratio(T()) >= 0.02)).alias("passed"))
 
 
 @book.add(f"SELECT chunk_id, {TOK} AS token_count, round({LINKS}, 6) AS link_density, round({TERM}, 6) AS terminal_punct_ratio, round({STOP}, 6) AS stopword_ratio FROM {CH} c")
 def substance_signals(t):
-    return t("chunks").select("chunk_id", X.token_count(T).alias("token_count"), r6(X.link_density(T)).alias("link_density"), r6(X.terminal_ratio(T)).alias("terminal_punct_ratio"), r6(X.stopword_ratio(T)).alias("stopword_ratio"))
+    return t("chunks").select("chunk_id", X.token_count(T()).alias("token_count"), r6(X.link_density(T())).alias("link_density"), r6(X.terminal_ratio(T())).alias("terminal_punct_ratio"), r6(X.stopword_ratio(T())).alias("stopword_ratio"))
 
 
 _GATE = f"""CASE WHEN {TOK} < 3 THEN 'below_token_floor' WHEN {ALPHA} IS NULL THEN 'empty_text' WHEN {ALPHA} < 0.5 THEN 'below_alpha_ratio'
@@ -111,7 +111,7 @@ _GATE = f"""CASE WHEN {TOK} < 3 THEN 'below_token_floor' WHEN {ALPHA} IS NULL TH
 
 @book.add(f"SELECT chunk_id, code AS reason_code, code = 'all_checks_passed' AS passed FROM (SELECT chunk_id, {_GATE} AS code FROM {CH} c)")
 def substance_gate(t):
-    return t("chunks").select("chunk_id", Q.substance_code(T).alias("reason_code")).withColumn("passed", F.col("reason_code") == "all_checks_passed")
+    return t("chunks").select("chunk_id", Q.substance_code(T()).alias("reason_code")).withColumn("passed", F.col("reason_code") == "all_checks_passed")
 
 
 _FW_LINES = f"list_filter(list_transform(string_split(text, chr(10)), lambda l: {STRIP('l')}), lambda l: l <> '')"
@@ -123,14 +123,14 @@ _FW = f"""CASE WHEN len(ls) = 0 THEN 'empty' WHEN len(list_filter(ls, lambda l:
 
 @book.add(f"SELECT chunk_id, {_FW} AS result FROM (SELECT chunk_id, text, {_FW_LINES} AS ls FROM {CH} c)")
 def fineweb_quality(t):
-    return t("chunks").select("chunk_id", Q.fineweb_code(T).alias("result"))
+    return t("chunks").select("chunk_id", Q.fineweb_code(T()).alias("result"))
 
 
 @book.add(f"""SELECT chunk_id, CASE WHEN is_table THEN 'table_exempt' WHEN fw <> 'passed' THEN 'fineweb_' || fw ELSE code END AS reason_code,
     coalesce(is_table, false) OR (fw = 'passed' AND code = 'all_checks_passed') AS passed
     FROM (SELECT chunk_id, is_table, {_FW} AS fw, {_GATE} AS code FROM (SELECT chunk_id, is_table, text, {_FW_LINES} AS ls FROM {CH} c))""")
 def chunk_gate(t):
-    code, fine = Q.substance_code(T), Q.fineweb_code(T)
+    code, fine = Q.substance_code(T()), Q.fineweb_code(T())
     rows = t("chunks").select("chunk_id", "is_table", code.alias("code"), fine.alias("fw"))
     reason = F.when(F.col("is_table"), "table_exempt").when(F.col("fw") != "passed", F.concat(F.lit("fineweb_"), "fw")).otherwise(F.col("code"))
     return rows.select("chunk_id", reason.alias("reason_code"), (F.coalesce("is_table", F.lit(False)) | ((F.col("fw") == "passed") & (F.col("code") == "all_checks_passed"))).alias("passed"))
@@ -148,7 +148,7 @@ _GOPHER_IN = f"SELECT doc_id, text, string_split(text, chr(10)) AS ls, {WORDS('t
 
 @book.add(f"SELECT doc_id, {_GOPHER} AS result FROM ({_GOPHER_IN})")
 def gopher_quality(t):
-    return t("documents").where(T.isNotNull()).select("doc_id", Q.gopher_quality_code(T).alias("result"))
+    return t("documents").where(T().isNotNull()).select("doc_id", Q.gopher_quality_code(T()).alias("result"))
 
 
 _C4_LINES = r"""list_filter(list_transform(string_split(text, chr(10)), lambda l: regexp_replace({s}, '\[[0-9]*\]|\[edit\]|\[citation needed\]', '', 'g')),
@@ -159,8 +159,8 @@ _C4 = f"""CASE WHEN regexp_matches(lower(text), 'lorem ipsum') THEN 'lorem_ipsum
 
 @book.add(f"SELECT doc_id, {_C4} AS result, len(kept) AS kept_lines FROM (SELECT doc_id, text, {_C4_LINES} AS kept FROM {DOC} d WHERE text IS NOT NULL)")
 def c4_quality(t):
-    rows = t("documents").where(T.isNotNull()).select("doc_id", "text", Q.c4_lines(T).alias("kept"))
-    return rows.select("doc_id", Q.c4_code(T, F.col("kept")).alias("result"), F.size("kept").cast("bigint").alias("kept_lines"))
+    rows = t("documents").where(T().isNotNull()).select("doc_id", "text", Q.c4_lines(T()).alias("kept"))
+    return rows.select("doc_id", Q.c4_code(T(), F.col("kept")).alias("result"), F.size("kept").cast("bigint").alias("kept_lines"))
 
 
 _REP = lambda x: f"(len({x}) - len(list_distinct({x}))) / greatest(len({x}), 1)"
@@ -170,7 +170,7 @@ _REPC = lambda x: f"(list_sum(list_transform({x}, lambda l: length(l))) - list_s
 @book.add(f"""SELECT doc_id, round({_REP('ps')}, 6) AS dup_paragraphs, round(coalesce({_REPC('ps')}, 0), 6) AS dup_paragraph_chars, round({_REP('ls')}, 6) AS dup_lines, round(coalesce({_REPC('ls')}, 0), 6) AS dup_line_chars
     FROM (SELECT doc_id, text, list_filter(regexp_split_to_array({STRIP('text')}, '\\n{{2,}}'), lambda l: l <> '') AS ps, list_filter(regexp_split_to_array({STRIP('text')}, '\\n+'), lambda l: l <> '') AS ls FROM {DOC} d WHERE text IS NOT NULL)""")
 def gopher_repetition_lines(t):
-    return Q.line_repetition(t("documents").where(T.isNotNull()).select("doc_id", "text"))
+    return Q.line_repetition(t("documents").where(T().isNotNull()).select("doc_id", "text"))
 
 
 @book.add(None)
@@ -182,7 +182,7 @@ def gopher_repetition(t):
     + (CASE WHEN n = 0 THEN 0.5 ELSE 1 - empty / n END) * 0.2 END, 6) AS score FROM (SELECT parsed_id, length(text) AS n_chars, {COUNT('text', chr(0xFFFD))} AS bad, len(sections) AS n,
     len(list_filter(sections, lambda s: {STRIP("coalesce(s.text, '')")} = '')) AS empty FROM {PARSED} p)""")
 def parse_quality(t):
-    return t("parsed_docs").select("parsed_id", r6(Q.parse_quality(T, F.col("sections"))).alias("score"))
+    return t("parsed_docs").select("parsed_id", r6(Q.parse_quality(T(), F.col("sections"))).alias("score"))
 
 
 _CHALLENGE = "CASE " + " ".join(f"WHEN regexp_matches(text, '(?i){sq(p)}') THEN '{r}'" if not p.startswith("(?s)") else f"WHEN regexp_matches(text, '(?is){sq(p[4:])}') THEN '{r}'" for p, r in X.CHALLENGES) + " END"
@@ -190,12 +190,12 @@ _CHALLENGE = "CASE " + " ".join(f"WHEN regexp_matches(text, '(?i){sq(p)}') THEN
 
 @book.add(f"SELECT parsed_id, {_CHALLENGE} AS reason FROM {PARSED} p")
 def challenge_filter(t):
-    return t("parsed_docs").select("parsed_id", X.first_match(T, X.CHALLENGES).alias("reason"))
+    return t("parsed_docs").select("parsed_id", X.first_match(T(), X.CHALLENGES).alias("reason"))
 
 
 @book.add(f"SELECT chunk_id, sha256({STRIP(_rr('text', WS + '+', ' '))}) AS text_hash FROM {CH} c WHERE text IS NOT NULL")
 def text_hash(t):
-    return t("chunks").where(T.isNotNull()).select("chunk_id", F.sha2(X.strip(F.regexp_replace(T, f"{WS}+", " ")), 256).alias("text_hash"))
+    return t("chunks").where(T().isNotNull()).select("chunk_id", F.sha2(X.strip(F.regexp_replace(T(), f"{WS}+", " ")), 256).alias("text_hash"))
 
 
 NAMESPACE = "6ba7b811-9dad-11d1-80b4-00c04fd430c8"
@@ -209,8 +209,8 @@ def point_id(t):
 
 @book.add(f"SELECT doc_id, len(d) AS n, array_to_string(d, '|') AS dates FROM (SELECT doc_id, regexp_extract_all(text, '{X.US_DATE}') AS d FROM {DOC} d WHERE text IS NOT NULL)")
 def extract_dates(t):
-    found = F.regexp_extract_all(T, F.lit(f"({X.US_DATE})"), 1)
-    return t("documents").where(T.isNotNull()).select("doc_id", F.size(found).cast("bigint").alias("n"), F.array_join(found, "|").alias("dates"))
+    found = F.regexp_extract_all(T(), F.lit(f"({X.US_DATE})"), 1)
+    return t("documents").where(T().isNotNull()).select("doc_id", F.size(found).cast("bigint").alias("n"), F.array_join(found, "|").alias("dates"))
 
 
 @book.add(f"SELECT parsed_id, coalesce(nullif(title, ''), nullif(sections[1].heading, ''), '') AS title, array_to_string(list_transform(list_filter(sections, lambda s: s.heading <> ''), lambda s: s.heading), '|') AS headings FROM {PARSED} p")
@@ -232,7 +232,7 @@ def slugify(t):
 @book.add(f"""SELECT doc_id, CASE WHEN length(text) <= 500 THEN text ELSE {_rr("CASE WHEN s <> '' THEN s WHEN contains(w, ' ') THEN regexp_extract(w, '(?s)^(.*) [^ ]*$', 1) ELSE w END", WS + '+$')} || '...' END AS lead
     FROM (SELECT doc_id, text, substring(text, 1, 500) AS w, regexp_extract(substring(text, 1, 500), '(?s)^(.*[.!?])(?: .*)?$', 1) AS s FROM {DOC} d WHERE text IS NOT NULL)""")
 def truncate_lead(t):
-    return t("documents").where(T.isNotNull()).select("doc_id", X.truncate_lead(T, 500).alias("lead"))
+    return t("documents").where(T().isNotNull()).select("doc_id", X.truncate_lead(T(), 500).alias("lead"))
 
 
 def _signature(e: str) -> str:
@@ -244,14 +244,14 @@ def _signature(e: str) -> str:
 
 @book.add(f"SELECT parsed_id, {_signature('text')} AS signature FROM {PARSED} p WHERE text IS NOT NULL")
 def change_signature(t):
-    return t("parsed_docs").where(T.isNotNull()).select("parsed_id", X.change_signature(T).alias("signature"))
+    return t("parsed_docs").where(T().isNotNull()).select("parsed_id", X.change_signature(T()).alias("signature"))
 
 
 @book.add(f"""SELECT doc_id, len(s) AS sentences, list_sum(list_transform(s, lambda x: length(x))) AS chars FROM (SELECT doc_id,
     list_filter(list_transform(string_split({_rr(STRIP('text'), r'([.!?])\s+([A-Z])', chr(92) + '1' + chr(1) + chr(92) + '2')}, chr(1)), lambda x: {STRIP('x')}), lambda x: x <> '') AS s FROM {DOC} d WHERE text IS NOT NULL)""")
 def split_sentences(t):
-    s = X.sentences(T)
-    return t("documents").where(T.isNotNull()).select("doc_id", s.alias("s")).select("doc_id", F.size("s").cast("bigint").alias("sentences"), F.when(F.size("s") > 0, F.aggregate("s", F.lit(0).cast("bigint"), lambda a, x: a + F.char_length(x))).alias("chars"))
+    s = X.sentences(T())
+    return t("documents").where(T().isNotNull()).select("doc_id", s.alias("s")).select("doc_id", F.size("s").cast("bigint").alias("sentences"), F.when(F.size("s") > 0, F.aggregate("s", F.lit(0).cast("bigint"), lambda a, x: a + F.char_length(x))).alias("chars"))
 
 
 _URL = "'https://User@WWW.Example.ORG:443' || url || '#part'"
@@ -277,8 +277,8 @@ def classify_route(t):
     g AS (SELECT doc_id, lang, source, length(text) AS cleaned_chars, {_GATE} AS reason_code, sha256({STRIP(_rr('text', WS + '+', ' '))}) AS text_hash FROM c)
     SELECT doc_id, lang, source, cleaned_chars, reason_code, text_hash, row_number() OVER (PARTITION BY text_hash ORDER BY doc_id) = 1 AS kept FROM g""")
 def corpus_clean_gate(t):
-    cleaned = t("documents").where(T.isNotNull()).select("doc_id", "lang", "source", X.remove_boilerplate(T).alias("text"))
-    gated = cleaned.select("doc_id", "lang", "source", F.char_length("text").cast("bigint").alias("cleaned_chars"), Q.substance_code(T).alias("reason_code"), F.sha2(X.strip(F.regexp_replace(T, f"{WS}+", " ")), 256).alias("text_hash"))
+    cleaned = t("documents").where(T().isNotNull()).select("doc_id", "lang", "source", X.remove_boilerplate(T()).alias("text"))
+    gated = cleaned.select("doc_id", "lang", "source", F.char_length("text").cast("bigint").alias("cleaned_chars"), Q.substance_code(T()).alias("reason_code"), F.sha2(X.strip(F.regexp_replace(T(), f"{WS}+", " ")), 256).alias("text_hash"))
     first = gated.groupBy("text_hash").agg(F.min("doc_id").alias("_first"))
     return gated.join(first, "text_hash").select("doc_id", "lang", "source", "cleaned_chars", "reason_code", "text_hash", (F.col("doc_id") == F.col("_first")).alias("kept"))
 
@@ -290,7 +290,7 @@ _CLASS = f"""SELECT parsed_id, section_no, CASE WHEN {STRIP('cleaned')} = '' THE
 
 def _classified(t):
     rows = t("parsed_docs").select("parsed_id", F.posexplode("sections").alias("section_no", "s")).select("parsed_id", "section_no", F.coalesce("s.text", F.lit("")).alias("text"))
-    reason = F.when(X.remove_boilerplate(T) == "", "empty_after_boilerplate_removal").when(Q.substance_code(T) != "all_checks_passed", "classified_as_boilerplate").otherwise("kept")
+    reason = F.when(X.remove_boilerplate(T()) == "", "empty_after_boilerplate_removal").when(Q.substance_code(T()) != "all_checks_passed", "classified_as_boilerplate").otherwise("kept")
     return rows.select("parsed_id", "section_no", reason.alias("reason"))
 
 
