@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from ..runtime import running_totals
 
 CAPACITY = 8192
-ROUNDS = 240
+ROUNDS = 60
 
 
 def classes(lengths: np.ndarray) -> np.ndarray:
@@ -44,7 +44,7 @@ def best_filling(sizes: np.ndarray, prices: np.ndarray, capacity: int, most: np.
     for c in range(int(sizes[0]), capacity + 1):
         n = np.searchsorted(sizes, c, side="right")
         offers = value[c - sizes[:n]] + prices[:n]
-        k = int(offers.argmax())
+        k = n - 1 - int(offers[::-1].argmax())  # of equal offers the largest item
         if offers[k] > value[c - 1]:
             value[c], choice[c] = offers[k], k
         else:
@@ -57,7 +57,14 @@ def best_filling(sizes: np.ndarray, prices: np.ndarray, capacity: int, most: np.
             continue
         counts[choice[c]] += 1
         c -= int(sizes[choice[c]])
-    return np.minimum(counts, most)
+    counts = np.minimum(counts, most)
+    room = capacity - int((counts * sizes).sum())
+    for k in range(len(sizes) - 1, -1, -1):  # where a class ran out, others fill up
+        more = min(int(most[k] - counts[k]), room // int(sizes[k])) if prices[k] > 0 else 0
+        if more > 0:
+            counts[k] += more
+            room -= more * int(sizes[k])
+    return counts
 
 
 def solve(sizes: np.ndarray, numbers: np.ndarray, capacity: int, rounds: int = ROUNDS) -> list[tuple[int, np.ndarray]]:
