@@ -12,7 +12,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..runtime import HOT_PARTS, cut, skew_safe_lookup
+from ..runtime import HOT_PARTS, cut, shuffle_width, skew_safe_lookup
 
 LEVELS = 4
 _SPACE = r"^[\s\p{Z}]+|[\s\p{Z}]+$"
@@ -25,18 +25,19 @@ def folded_id(column: Column) -> Column:
 
 
 def links(rows: DataFrame, *, id: str = "id", parent: str = "parent_artifact_id") -> DataFrame:
-    """One row (key, id, up) per id: its folded key, its spelling, and its parent's key if that is in the table.
+    """One row (key, id, up) per id: its folded key, its spelling if that differs, and its parent's key if that is in the table.
 
     Rows with a null or blank id are no nodes. Where rows of an id disagree, the largest parent reference counts, and the
     smallest spelling of the id.
     """
-    nodes = rows.select(folded_id(F.col(id)).alias("key"), F.col(id).cast("string").alias("id"), folded_id(F.col(parent)).alias("up"))
+    key = folded_id(F.col(id))
+    nodes = rows.select(key.alias("key"), F.when(F.col(id).cast("string") != key, F.col(id).cast("string")).alias("id"), folded_id(F.col(parent)).alias("up"))
     nodes = cut(nodes.where(F.col("key").isNotNull()).groupBy("key").agg(F.min("id").alias("id"), F.max("up").alias("up")))
-    wanted = cut(nodes.where(F.col("up").isNotNull()).groupBy("up").agg(F.count(F.lit(1)).alias("n")))
-    present = cut(wanted.join(nodes.select(F.col("key").alias("up")), "up", "left_semi"))
-    kept = skew_safe_lookup(nodes.where(F.col("up").isNotNull()), present, ["up"], "n", nodes.count())
-    roots = nodes.join(kept.select("key"), "key", "left_anti").withColumn("up", F.lit(None).cast("string"))
-    return kept.select("key", "id", "up").unionByName(roots)
+    wanted = nodes.where(F.col("up").isNotNull()).groupBy("up").agg(F.count(F.lit(1)).alias("n"))
+    present = cut(wanted.join(nodes.select(F.col("key").alias("up")), "up", "left_semi").withColumn("here", F.lit(True)))
+    held = skew_safe_lookup(nodes.where(F.col("up").isNotNull()), present, ["up"], "n", nodes.count(), "left")
+    held = held.select("key", "id", F.when(F.col("here"), F.col("up")).alias("up"))
+    return held.unionByName(nodes.where(F.col("up").isNull()))
 
 
 def hierarchy(rows: DataFrame, *, id: str = "id", parent: str = "parent_artifact_id", with_path: bool = False) -> DataFrame:
@@ -61,11 +62,14 @@ def hierarchy(rows: DataFrame, *, id: str = "id", parent: str = "parent_artifact
         hot = f.join(F.broadcast(crowded), "up", "left_semi")
         return rest.join(F.broadcast(hot), "up").unionByName(rest.join(F.broadcast(crowded), "up", "left_anti").join(f.join(F.broadcast(crowded), "up", "left_anti"), "up"))
 
-    path = [F.array("id").alias("path")] if with_path else []
-    frontier = nodes.where(F.col("up").isNull()).select("key", "id", F.col("id").alias("root_id"), F.lit(0).alias("node_depth"), *path)
-    done, rest = [frontier], nodes.where(F.col("up").isNotNull())
+    name = F.coalesce("id", "key")
+    path = [F.array(name).alias("path")] if with_path else []
+    frontier = nodes.where(F.col("up").isNull()).select("key", "id", name.alias("root_id"), F.lit(0).alias("node_depth"), *path)
+    # The children stay partitioned by parent, so that a level shuffles its frontier only.
+    rest = nodes.where(F.col("up").isNotNull()).repartition(shuffle_width(rows.sparkSession), "up").persist()
+    done = [frontier]
     for level in range(1, LEVELS + 1):
-        step = [F.concat("up_path", F.array("id")).alias("path")] if with_path else []
+        step = [F.concat("up_path", F.array(name)).alias("path")] if with_path else []
         frontier = cut(below(frontier, rest).select("key", "id", F.col("up_root_id").alias("root_id"), F.lit(level).alias("node_depth"), *step))
         done.append(frontier)
         if not frontier.take(1):
@@ -73,14 +77,16 @@ def hierarchy(rows: DataFrame, *, id: str = "id", parent: str = "parent_artifact
     reached = done[0]
     for d in done[1:]:
         reached = reached.unionByName(d)
-    left = cut(rest.join(reached.select("key"), "key", "left_anti"))
+    # Not reached is whose parent isn't above the last level.
+    above = reached.where(F.col("node_depth") < level).select(F.col("key").alias("up"))
+    left = cut(rest.join(above, "up", "left_anti"))
+    rest.unpersist()
     # A node that is left and whose parent was reached starts from that parent's place.
     heads = below(frontier, left)
-    step = [F.array("id").alias("path")] if with_path else []
-    solved = cut(heads.select("key", "id", F.col("up_root_id").alias("root_id"), (F.col("up_node_depth") + 1).alias("node_depth"), *([F.concat("up_path", F.array("id")).alias("path")] if with_path else [])))
+    solved = cut(heads.select("key", "id", F.col("up_root_id").alias("root_id"), (F.col("up_node_depth") + 1).alias("node_depth"), *([F.concat("up_path", F.array(name)).alias("path")] if with_path else [])))
     # open: up is the ancestor `far` links above, least the smallest key of the node and the far - 1 next ones,
     # trail the ids from just below that ancestor to the node.
-    open_ = cut(left.join(solved.select("key"), "key", "left_anti").select("key", "id", "up", F.lit(1).alias("far"), F.struct("key", "id").alias("least"), *([F.array("id").alias("trail")] if with_path else [])))
+    open_ = cut(left.join(solved.select("key"), "key", "left_anti").select("key", "id", "up", F.lit(1).alias("far"), F.struct("key", "id").alias("least"), *([F.array(name).alias("trail")] if with_path else [])))
     rounds = 0
     while True:
         n_open = open_.count()
@@ -108,13 +114,13 @@ def hierarchy(rows: DataFrame, *, id: str = "id", parent: str = "parent_artifact
             open_ = cut(open_.join(far, "up").select("key", "id", F.col("_up").alias("up"), F.least("least", "_least").alias("least")))
         # After at least as many steps as there are nodes everyone's ancestor lies on a loop, and every loop node is reached.
         on_loop = cut(open_.join(open_.select(F.col("up").alias("key")).distinct(), "key", "left_semi"))
-        named = open_.select("key", "id", "up").join(on_loop.select(F.col("key").alias("up"), F.col("least.id").alias("root_id")), "up")
+        named = open_.select("key", "id", "up").join(on_loop.select(F.col("key").alias("up"), F.coalesce("least.id", "least.key").alias("root_id")), "up")
         nulls = [F.lit(None).cast("array<string>").alias("path")] if with_path else []
         looped = named.join(on_loop.select("key", F.lit(-1).alias("_on")), "key", "left").select("key", "id", "root_id", F.coalesce("_on", F.lit(-2)).alias("node_depth"), *nulls)
     everything = reached.unionByName(solved)
     if looped is not None:
         everything = everything.unionByName(looped)
-    return everything.select("id", "root_id", F.col("node_depth").cast("int").alias("node_depth"), *(["path"] if with_path else []))
+    return everything.select(name.alias("id"), "root_id", F.col("node_depth").cast("int").alias("node_depth"), *(["path"] if with_path else []))
 
 
 def descendants(rows: DataFrame, *, id: str = "id", parent: str = "parent_artifact_id") -> DataFrame:
