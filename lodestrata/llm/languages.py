@@ -28,22 +28,33 @@ _SCRIPTS = [
     (0x0980, 0x09FF, "bn"), (0x0A80, 0x0AFF, "gu"), (0x0B80, 0x0BFF, "ta"), (0x0C00, 0x0C7F, "te"), (0x0E00, 0x0E7F, "th"), (0x0E80, 0x0EFF, "lo"),
     (0x1000, 0x109F, "my"), (0x10A0, 0x10FF, "ka"), (0x1200, 0x137F, "am"), (0x1780, 0x17FF, "km"), (0x3040, 0x30FF, "ja"), (0x3400, 0x9FFF, "zh"), (0xAC00, 0xD7AF, "ko"),
 ]
-_OTHER = re.compile("|".join(f"(?P<{lang}>[{chr(a)}-{chr(b)}]+)" for a, b, lang in _SCRIPTS))
+_OTHER = re.compile(r"[\u0370-\u1cff\u3040-\ud7ff]+")
+
+
+def _script(c: str) -> str | None:
+    at = ord(c)
+    return next((lang for a, b, lang in _SCRIPTS if a <= at <= b), None)
 
 
 def scores(text: str) -> dict[str, float]:
     """Evidence for each language: letters of its script, or common words shared out among the languages that have them."""
     found: dict[str, float] = {}
     if not text.isascii():
-        for m in _OTHER.finditer(text):
-            found[m.lastgroup] = found.get(m.lastgroup, 0.0) + (m.end() - m.start()) / 3
+        for run in _OTHER.findall(text):
+            lang = "ja" if any("\u3040" <= c <= "\u30ff" for c in run) else _script(run[0])
+            if lang:
+                found[lang] = found.get(lang, 0.0) + len(run) / 3
         if "ja" in found and "zh" in found:
             found["ja"] += found.pop("zh")
     low = text.lower()
     for w in _WORD.findall(low):
-        for part in {w, *re.split(r"['’]", w)} if "'" in w or "’" in w else (w,):
-            for lang, x in _WEIGHTS.get(part, ()):
+        if w in _WEIGHTS:
+            for lang, x in _WEIGHTS[w]:
                 found[lang] = found.get(lang, 0.0) + x
+        elif "'" in w or "’" in w:
+            for part in set(re.split(r"['’]", w)):
+                for lang, x in _WEIGHTS.get(part, ()):
+                    found[lang] = found.get(lang, 0.0) + x
     if not text.isascii():
         for lang, letters in _LETTERS.items():
             if n := sum(low.count(c) for c in letters):
