@@ -254,17 +254,24 @@ def split_sentences(t):
     return t("documents").where(T().isNotNull()).select("doc_id", s.alias("s")).select("doc_id", F.size("s").cast("bigint").alias("sentences"), F.when(F.size("s") > 0, F.aggregate("s", F.lit(0).cast("bigint"), lambda a, x: a + F.char_length(x))).alias("chars"))
 
 
-_URL = "'https://User@WWW.Example.ORG:443' || url || '#part'"
+_BARE = _rr(STRIP("url"), "#.*$")
+_PATH = f"regexp_extract({_BARE}, '^[^:]+://[^/?]*([^?]*)', 1)"
 
 
-@book.add(None)
+@book.add(f"""SELECT id, lower(regexp_extract({_BARE}, '^([A-Za-z][A-Za-z0-9+.-]*)://', 1)) || '://' || {_rr(f"lower(regexp_extract({_BARE}, '^[^:]+://([^/?]*)', 1))", '^.*@')}
+    || CASE WHEN {_PATH} = '/' THEN '/' ELSE {_rr(_PATH, '/+$')} END || regexp_extract({_BARE}, '([?].*)$', 1) AS normalized FROM (SELECT DISTINCT * FROM sources) s""")
 def normalize_url(t):
     return t("sources").select("id", X.normalize_url(F.col("url")).alias("normalized"))
 
 
-@book.add(None)
+_HITS = {lang: "len(list_filter(w, lambda x: x IN (" + ", ".join(f"'{x}'" for x in ws.split()) + ")))" for lang, ws in Q.LANGUAGE_WORDS.items()}
+_BEST = "greatest(" + ", ".join(_HITS) + ")"
+
+
+@book.add(f"""SELECT doc_id, CASE {' '.join(f"WHEN {x} = {_BEST} AND {_BEST} > 0 THEN '{x}'" for x in _HITS)} ELSE 'unknown' END AS detected FROM
+    (SELECT doc_id, {', '.join(f'{h} AS {x}' for x, h in _HITS.items())} FROM (SELECT doc_id, {WORDS("lower(" + _rr("text", "[^" + chr(92) + "p{L}" + chr(92) + "s]", " ") + ")")} AS w FROM {DOC} d WHERE text IS NOT NULL))""")
 def detect_language(t):
-    return Q.detect_language(t("documents").select("doc_id", "text", "lang"), id="doc_id")
+    return Q.detect_language(t("documents").where(T().isNotNull()), id="doc_id")
 
 
 @book.add("SELECT item_id, CASE " + " ".join(f"WHEN regexp_matches(question, '{sq(p)}') THEN '{n}'" for n, p in X.ROUTES) + " ELSE 'no_match' END AS category FROM (SELECT DISTINCT * FROM eval_items)")
