@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, GroupedData, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as X
+from ..runtime import cut, skew_safe_lookup
 from .hierarchy import hierarchy
 
 
@@ -71,8 +72,9 @@ def hashed(chunks: DataFrame) -> DataFrame:
 
 def first_writer(rows: DataFrame) -> DataFrame:
     """Which chunk was first with its text, by (ord, chunk_id); hot texts are reduced before they are joined back."""
-    first = rows.groupBy("text_hash").agg(F.min(F.struct("ord", "chunk_id"))["chunk_id"].alias("_first"))
-    return rows.select("chunk_id", "text_hash").join(first, "text_hash").select("chunk_id", "text_hash", (F.col("chunk_id") == F.col("_first")).alias("is_new"))
+    rows = cut(rows.select("chunk_id", "ord", "text_hash"))
+    first = cut(rows.groupBy("text_hash").agg(F.min(F.struct("ord", "chunk_id"))["chunk_id"].alias("_first"), F.count(F.lit(1)).alias("n")))
+    return skew_safe_lookup(rows, first, ["text_hash"], "n", rows.count()).select("chunk_id", "text_hash", (F.col("chunk_id") == F.col("_first")).alias("is_new"))
 
 
 def contributors(rows: DataFrame, *, most: int) -> DataFrame:

@@ -19,17 +19,30 @@ TOP_NGRAMS = {2: 0.20, 3: 0.18, 4: 0.16}
 DUPLICATED_NGRAMS = {5: 0.15, 6: 0.14, 7: 0.13, 8: 0.12, 9: 0.11, 10: 0.10}
 
 
-def substance_code(text: Column) -> Column:
+def once(value: Column) -> Column:
+    """The value from a generator, so that later expressions read it instead of computing it again each."""
+    return F.explode(F.array(value))
+
+
+def signals(text: Column) -> Column:
+    """The ratios of the substance checks as a struct."""
+    return F.struct(X.token_count(text).alias("tokens"), X.alpha_ratio(text).alias("alpha"), X.n_words(text).alias("words"), F.regexp_count(text, F.lit(X.LINK)).alias("links"), X.stopword_ratio(text).alias("stops"), F.regexp_count(text, F.lit(X.TERMINAL)).alias("ends"))
+
+
+def code_of(s: Column) -> Column:
     """Token floor, letters, links, stop words, end marks, in this order; the last three need six words."""
-    enough = X.n_words(text) >= 6
-    alpha = X.alpha_ratio(text)
+    enough = s["words"] >= 6
     return (
-        F.when(X.token_count(text) < 3, "below_token_floor").when(alpha.isNull(), "empty_text").when(alpha < 0.5, "below_alpha_ratio")
-        .when(enough & (X.link_density(text) > 0.3), "above_link_density").when(enough & (X.stopword_ratio(text) < 0.05), "below_stopword_ratio")
-        .when(enough & (X.terminal_ratio(text) < 0.02), "below_terminal_punct").otherwise("all_checks_passed")
+        F.when(s["tokens"] < 3, "below_token_floor").when(s["alpha"].isNull(), "empty_text").when(s["alpha"] < 0.5, "below_alpha_ratio")
+        .when(enough & (s["links"] / s["words"] > 0.3), "above_link_density").when(enough & (s["stops"] < 0.05), "below_stopword_ratio")
+        .when(enough & (s["ends"] / s["words"] < 0.02), "below_terminal_punct").otherwise("all_checks_passed")
     )
 
 
+def substance_code(text: Column) -> Column:
+    return code_of(signals(text))
+
+
 def _chars(lines: Column) -> Column:
     return F.aggregate(lines, F.lit(0).cast("bigint"), lambda a, x: a + F.char_length(x))
 
@@ -46,8 +59,8 @@ def fineweb_code(text: Column) -> Column:
     )
 
 
-def gopher_quality_code(text: Column) -> Column:
-    words, lines = X.words(text), F.split(text, "\n", -1)
+def gopher_quality_code(text: Column, words: Column) -> Column:
+    lines = F.split(text, "\n", -1)
     n, k = F.size(words), F.size(lines)
     mean = _chars(words) / n
     share = lambda pattern: F.size(F.filter(lines, lambda x: x.rlike(pattern))) / k

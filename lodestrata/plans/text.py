@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as X
 from ..operators import rules as Q
+from ..runtime import cut, skew_safe_lookup
 from .base import Book
 
 book = Book()
@@ -111,7 +112,8 @@ _GATE = f"""CASE WHEN {TOK} < 3 THEN 'below_token_floor' WHEN {ALPHA} IS NULL TH
 
 @book.add(f"SELECT chunk_id, code AS reason_code, code = 'all_checks_passed' AS passed FROM (SELECT chunk_id, {_GATE} AS code FROM {CH} c)")
 def substance_gate(t):
-    return t("chunks").select("chunk_id", Q.substance_code(T()).alias("reason_code")).withColumn("passed", F.col("reason_code") == "all_checks_passed")
+    rows = t("chunks").select("chunk_id", Q.once(Q.signals(T())).alias("s"))
+    return rows.select("chunk_id", Q.code_of(F.col("s")).alias("reason_code")).withColumn("passed", F.col("reason_code") == "all_checks_passed")
 
 
 _FW_LINES = f"list_filter(list_transform(string_split(text, chr(10)), lambda l: {STRIP('l')}), lambda l: l <> '')"
@@ -130,8 +132,8 @@ def fineweb_quality(t):
     coalesce(is_table, false) OR (fw = 'passed' AND code = 'all_checks_passed') AS passed
     FROM (SELECT chunk_id, is_table, {_FW} AS fw, {_GATE} AS code FROM (SELECT chunk_id, is_table, text, {_FW_LINES} AS ls FROM {CH} c))""")
 def chunk_gate(t):
-    code, fine = Q.substance_code(T()), Q.fineweb_code(T())
-    rows = t("chunks").select("chunk_id", "is_table", code.alias("code"), fine.alias("fw"))
+    both = F.struct(Q.signals(T()).alias("s"), Q.fineweb_code(T()).alias("fw"))
+    rows = t("chunks").select("chunk_id", "is_table", Q.once(both).alias("b")).select("chunk_id", "is_table", Q.code_of(F.col("b.s")).alias("code"), "b.fw")
     reason = F.when(F.col("is_table"), "table_exempt").when(F.col("fw") != "passed", F.concat(F.lit("fineweb_"), "fw")).otherwise(F.col("code"))
     return rows.select("chunk_id", reason.alias("reason_code"), (F.coalesce("is_table", F.lit(False)) | ((F.col("fw") == "passed") & (F.col("code") == "all_checks_passed"))).alias("passed"))
 
@@ -148,7 +150,8 @@ _GOPHER_IN = f"SELECT doc_id, text, string_split(text, chr(10)) AS ls, {WORDS('t
 
 @book.add(f"SELECT doc_id, {_GOPHER} AS result FROM ({_GOPHER_IN})")
 def gopher_quality(t):
-    return t("documents").where(T().isNotNull()).select("doc_id", Q.gopher_quality_code(T()).alias("result"))
+    rows = t("documents").where(T().isNotNull()).select("doc_id", "text", Q.once(X.words(T())).alias("words"))
+    return rows.select("doc_id", Q.gopher_quality_code(T(), F.col("words")).alias("result"))
 
 
 _C4_LINES = r"""list_filter(list_transform(string_split(text, chr(10)), lambda l: regexp_replace({s}, '\[[0-9]*\]|\[edit\]|\[citation needed\]', '', 'g')),
@@ -284,10 +287,12 @@ def classify_route(t):
     g AS (SELECT doc_id, lang, source, length(text) AS cleaned_chars, {_GATE} AS reason_code, sha256({STRIP(_rr('text', WS + '+', ' '))}) AS text_hash FROM c)
     SELECT doc_id, lang, source, cleaned_chars, reason_code, text_hash, row_number() OVER (PARTITION BY text_hash ORDER BY doc_id) = 1 AS kept FROM g""")
 def corpus_clean_gate(t):
-    cleaned = t("documents").where(T().isNotNull()).select("doc_id", "lang", "source", X.remove_boilerplate(T()).alias("text"))
-    gated = cleaned.select("doc_id", "lang", "source", F.char_length("text").cast("bigint").alias("cleaned_chars"), Q.substance_code(T()).alias("reason_code"), F.sha2(X.strip(F.regexp_replace(T(), f"{WS}+", " ")), 256).alias("text_hash"))
-    first = gated.groupBy("text_hash").agg(F.min("doc_id").alias("_first"))
-    return gated.join(first, "text_hash").select("doc_id", "lang", "source", "cleaned_chars", "reason_code", "text_hash", (F.col("doc_id") == F.col("_first")).alias("kept"))
+    cleaned = t("documents").where(T().isNotNull()).select("doc_id", "lang", "source", Q.once(X.remove_boilerplate(T())).alias("text"))
+    cleaned = cleaned.select("*", Q.once(Q.signals(T())).alias("s"))
+    gated = cleaned.select("doc_id", "lang", "source", F.char_length("text").cast("bigint").alias("cleaned_chars"), Q.code_of(F.col("s")).alias("reason_code"), F.sha2(X.strip(F.regexp_replace(T(), f"{WS}+", " ")), 256).alias("text_hash"))
+    gated = cut(gated)
+    first = cut(gated.groupBy("text_hash").agg(F.min("doc_id").alias("_first"), F.count(F.lit(1)).alias("n")))
+    return skew_safe_lookup(gated, first, ["text_hash"], "n", gated.count()).select("doc_id", "lang", "source", "cleaned_chars", "reason_code", "text_hash", (F.col("doc_id") == F.col("_first")).alias("kept"))
 
 
 _CLASS = f"""SELECT parsed_id, section_no, CASE WHEN {STRIP('cleaned')} = '' THEN 'empty_after_boilerplate_removal' WHEN code <> 'all_checks_passed' THEN 'classified_as_boilerplate' ELSE 'kept' END AS reason
@@ -297,7 +302,8 @@ _CLASS = f"""SELECT parsed_id, section_no, CASE WHEN {STRIP('cleaned')} = '' THE
 
 def _classified(t):
     rows = t("parsed_docs").select("parsed_id", F.posexplode("sections").alias("section_no", "s")).select("parsed_id", "section_no", F.coalesce("s.text", F.lit("")).alias("text"))
-    reason = F.when(X.remove_boilerplate(T()) == "", "empty_after_boilerplate_removal").when(Q.substance_code(T()) != "all_checks_passed", "classified_as_boilerplate").otherwise("kept")
+    rows = rows.select("*", Q.once(F.struct(X.remove_boilerplate(T()).alias("clean"), Q.signals(T()).alias("s"))).alias("b"))
+    reason = F.when(F.col("b.clean") == "", "empty_after_boilerplate_removal").when(Q.code_of(F.col("b.s")) != "all_checks_passed", "classified_as_boilerplate").otherwise("kept")
     return rows.select("parsed_id", "section_no", reason.alias("reason"))
 
 
