@@ -1,5 +1,7 @@
 import json
+import random
 import uuid
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -63,6 +65,34 @@ def test_near_dup_flags_every_member(spark):
     assert {r["id"]: r["status"] for r in neardup.near_dup_status(docs, id="id").collect()} == {1: "near_dup", 2: "near_dup", 3: "unique", 4: "unique", 5: "unique"}
 
 
+def test_near_dup_classes_are_whole(spark):
+    rng = random.Random(1)
+    base = [[f"b{k}w{i}" for i in range(120)] for k in range(40)]
+    rows, footer = [], " ".join(f"f{i}" for i in range(40))
+    for k, words in enumerate(base):
+        for v in range(4):
+            changed = list(words)
+            for at in rng.sample(range(120), [0, 1, 2, 4][v]):
+                changed[at] = f"x{k}v{v}a{at}"
+            rows.append((k * 10 + v, " ".join(changed) + (" " + footer if k % 2 else "")))
+    rows += [(900, rows[0][1]), (901, None), (902, "a b"), (903, "A  b")]
+    split = lambda t: (t or "").lower().split()
+    sets = {i: {tuple(w[j : j + 5]) for j in range(max(1, len(w) - 4))} for i, t in rows if (w := split(t))}
+    want = {i: i for i, _ in rows}
+    linked = [(a, b) for a in sets for b in sets if a < b and 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])]
+    for _ in rows:
+        for a, b in linked:
+            want[a] = want[b] = min(want[a], want[b])
+    got = {r["id"]: r for r in neardup.near_dup_status(spark.createDataFrame(rows, "id long, text string"), id="id").collect()}
+    assert {i: r["class_id"] for i, r in got.items()} == want and len(linked) > 60
+    sizes = Counter(want.values())
+    assert all((r["status"] == "near_dup") == (sizes[want[i]] > 1) for i, r in got.items())
+    chain = spark.createDataFrame([(i, i + 1) for i in range(1, 40)] + [(-5, -3), (40, 7)], "a long, b long")
+    assert {r["node"]: r["label"] for r in neardup.components(chain).collect()} == {i: 1 for i in range(1, 41)} | {-5: -5, -3: -5}
+    empty = spark.createDataFrame([], "id long, text string")
+    assert neardup.near_dup_status(empty, id="id").count() == 0
+
+
 def test_chunks_cover_all_sentences():
     text = " ".join(f"Sentence number {i} says a little more here." for i in range(200))
     chunks = chunking.pack_sentences(text, 60, 12)
