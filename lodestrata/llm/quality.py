@@ -3,12 +3,14 @@
 Statistics: word count, mean word length, share of symbols among visible characters, share of lines ending in punctuation,
 share of common words. Their exact ranks within the language of the document come from one range-partitioned sort of the
 distinct values, counted beforehand, with partition offsets, so no language is gathered into one task. A value's two
-tail probabilities are the shares of sections with values at most and at least as large. An outlier score sums, for the
+tail probabilities are the shares of sections with smaller and with larger values, each with half of the sections of the same
+value, so a value that most sections share is not certain to be typical. An outlier score sums, for the
 tails in which non-prose lies (few sentence ends, few common words, many symbols) and for the smaller tail of the other
 two, -log of the probability.
 
-A section whose score reaches SCORE is a candidate; what it is, list, table or junk, or prose after all, is decided by
-its shape. SCORE is one nat: the mean of a single statistic's score, so sections typical in every respect are no candidates.
+A section whose score reaches SCORE is a candidate, and so is one beyond the absolute bounds of BOUNDS, as the score says
+little where most of a language is no prose. What a candidate is, list, table or junk, or prose after all, is decided by its
+shape. SCORE is one nat: the mean of a single statistic's score, so sections typical in every respect are no candidates.
 """
 
 from __future__ import annotations
@@ -28,8 +30,8 @@ STATISTICS = ("word_count", "mean_word_length", "symbol_ratio", "punctuated_line
 #: The tail that counts of each statistic: low, high, or the smaller of both.
 TAILS = {"word_count": "both", "mean_word_length": "both", "symbol_ratio": "high", "punctuated_lines": "low", "common_words": "low"}
 SCORE = 1.0
-#: In a language with fewer sections than this, ranks say little: all its sections are candidates.
-FEW = 100
+#: Beyond these a section is a candidate whatever its language holds: fewer words, sentence ends or common words, more symbols.
+BOUNDS = {"word_count": 5, "punctuated_lines": 1.0, "common_words": 0.15, "symbol_ratio": 0.1}
 _ENDS = frozenset(".!?…。！？।؟۔։።။។:;\"'”’»)」』）")
 _COMMON = {lang: frozenset(ws) for lang, ws in COMMON.items()}
 _BLANK, _SYMBOL = re.compile(r"\s+"), re.compile(r"[\W_]+")
@@ -93,16 +95,16 @@ def outlier_scores(rows: DataFrame, *, group: str = "lang") -> DataFrame:
     counted = keyed.select("_group", F.explode(pairs).alias("p")).groupBy("_group", F.col("p.stat").alias("stat"), F.col("p.value").alias("value")).agg(F.count(F.lit(1)).alias("n"))
     below = running_totals(counted, ["_group", "stat"], ["value"], "n", "upto")
     sizes = keyed.groupBy("_group").agg(F.count(F.lit(1)).alias("size"))
-    table = cut(below.join(sizes, "_group").select("_group", "stat", "value", "n", (F.col("upto") / F.col("size")).alias("low"), ((F.col("size") - F.col("upto") + F.col("n")) / F.col("size")).alias("high")))
+    table = cut(below.join(sizes, "_group").select("_group", "stat", "value", "n", (F.col("upto") / F.col("size")).alias("rank"), ((F.col("upto") - F.col("n") / 2) / F.col("size")).alias("low"), ((F.col("size") - F.col("upto") + F.col("n") / 2) / F.col("size")).alias("high")))
     # Equal rows share all their ranks: they are looked up once.
     profile = keyed.groupBy("_group", *STATISTICS).agg(F.count(F.lit(1)).alias("_n"))
     profile = cut(profile.withColumn("_profile", F.monotonically_increasing_id()))
     long = profile.select("_profile", "_group", F.explode(pairs).alias("p")).select("_profile", "_group", F.col("p.stat").alias("stat"), F.col("p.value").alias("value"))
     ranked = skew_safe_lookup(long, table, ["_group", "stat", "value"], "n", total * len(STATISTICS))
     of = lambda k, c: F.max(F.when(F.col("stat") == k, F.col(c)))
-    wide = ranked.groupBy("_profile").agg(*[of(k, c).alias(f"{s}_{c}") for k, s in enumerate(STATISTICS) for c in ("low", "high")])
+    wide = ranked.groupBy("_profile").agg(*[of(k, c).alias(f"{s}_{c}") for k, s in enumerate(STATISTICS) for c in ("rank", "low", "high")])
     tail = lambda s: F.col(f"{s}_{TAILS[s]}") if TAILS[s] != "both" else F.least(f"{s}_low", f"{s}_high", F.lit(0.5)) * 2
-    wide = wide.select("_profile", *[F.col(f"{s}_low").alias(f"{s}_rank") for s in STATISTICS], (-sum((F.log(tail(s)) for s in STATISTICS), F.lit(0.0))).alias("score"))
+    wide = wide.select("_profile", *[f"{s}_rank" for s in STATISTICS], (-sum((F.log(tail(s)) for s in STATISTICS), F.lit(0.0))).alias("score"))
     found = cut(profile.join(wide, "_profile").join(sizes, "_group").drop("_profile"))
     return skew_safe_lookup(keyed, found.withColumnRenamed("_n", "n"), ["_group", *STATISTICS], "n", total).drop("_group")
 
@@ -110,4 +112,6 @@ def outlier_scores(rows: DataFrame, *, group: str = "lang") -> DataFrame:
 def not_prose(docs: DataFrame, *, doc: str = "parsed_id", sections: str = "sections", least: float = SCORE) -> DataFrame:
     """(doc, section_no, kind, score, lang, the statistics) of the sections that are list, table or junk."""
     scored = outlier_scores(section_statistics(docs, doc=doc, sections=sections))
-    return scored.where(((F.col("score") >= least) | (F.col("size") < FEW)) & (F.col("shape") != "prose")).select("doc", "section_no", F.col("shape").alias("kind"), "score", "lang", *STATISTICS)
+    low = [F.col(s) < BOUNDS[s] for s in ("word_count", "punctuated_lines", "common_words")]
+    beyond = low[0] | low[1] | low[2] | (F.col("symbol_ratio") > BOUNDS["symbol_ratio"])
+    return scored.where(((F.col("score") >= least) | beyond) & (F.col("shape") != "prose")).select("doc", "section_no", F.col("shape").alias("kind"), "score", "lang", *STATISTICS)

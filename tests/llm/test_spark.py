@@ -74,6 +74,12 @@ def test_quality(spark):
     assert quality.not_prose(df.limit(0)).count() == 0
 
 
+def test_quality_of_a_language_without_prose(spark):
+    for text, kind in (("- the form\n- a copy", "list"), ("a\tb\n1\t2", "table"), ("", "junk")):
+        df = docs(spark, [(f"d{i}", "s", "", None, [(text, None)] * 10) for i in range(100)])
+        assert [tuple(r) for r in quality.not_prose(df).groupBy("kind").count().collect()] == [(kind, 1000)]
+
+
 def test_leaks(spark):
     run = " ".join(f"w{i}" for i in range(20))
     items = spark.createDataFrame([(1, run, None), (2, "short one", run + " tail"), (2, "short one", run + " tail"), (None, run, run)], "item_id long, question string, answer string")
