@@ -63,7 +63,7 @@ def furniture(lines: list[str], title: str | None = None, page: bool = True) ->
     texts = [folded(line) for line in lines]
     if page:
         wanted = folded(title) if title else None
-        first = next((i for i, t in enumerate(texts[:25]) if t.startswith("#") or wanted and t.lstrip("# ") == wanted), None)
+        first = next((i for i, t in enumerate(texts) if t.startswith("#") or wanted and t.lstrip("# ") == wanted), None)
         if first is not None:
             found.update(i for i in range(first) if texts[i] and not (SENTENCE_END.search(texts[i]) and len(texts[i]) > 60))
     block = False

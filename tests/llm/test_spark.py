@@ -16,7 +16,7 @@ def docs(spark, rows):
 
 
 def pages(spark):
-    rows = [(f"p{i}", "s" if i % 4 else None, f"Home\nSkip to content\n\n# Title {i}\n\nThe page number {i} says this and that.\nShare this page: mail", f"Title {i}", [("Same  LINE\nown line %d" % i, None), ("same line", False), (None, None), ("x" * 1600, i % 2 == 0)]) for i in range(12)]
+    rows = [(f"p{i}", "s" if i % 4 else None, f"Home\nSkip to content\n\n# Title {i}\n\n{chr(97 + i) * 4} says this and that.\nShare this page: mail", f"Title {i}", [("Same  LINE\nown line %d" % i, None), ("same line", False), (None, None), ("x" * 1600, i % 2 == 0)]) for i in range(12)]
     return docs(spark, [*rows, rows[1], ("empty", "s", None, None, None), ("blank", "s", "", None, [])])
 
 
@@ -25,15 +25,32 @@ def test_boilerplate(spark):
     got = {tuple(r) for r in boilerplate.furniture_lines(df).collect()}
     assert got == {(f"p{i}", n) for i in range(12) for n in (0, 1, 6)}
     body = {r["page"]: r["body"] for r in boilerplate.main_body(df).collect()}
-    assert body["p3"] == "# Title 3\n\nThe page number 3 says this and that." and body["empty"] == "" and len(body) == 14
+    assert body["p3"] == "# Title 3\n\ndddd says this and that." and body["empty"] == "" and len(body) == 14
     assert boilerplate.furniture_lines(df.limit(0)).count() == 0
 
 
-def test_suffix_runs_across_partitions(spark):
-    words = ["a", "b", "c", "d"]
-    rows = [("h", " ".join((x, y, z)), f"p{n}", f"p{n}") for n, (x, y, z) in enumerate((x, y, z) for x in words for y in words for z in words)]
-    got = {r["suffix"]: r["run"] for r in boilerplate.repeated_runs(spark.createDataFrame([*rows, ("g", "a b c", "q", "q")], "host string, suffix string, first_page string, last_page string")).where("host = 'h'").collect()}
-    assert len(got) == 64 and set(got.values()) == {2}
+def test_boilerplate_without_phrases(spark):
+    """Lines that no phrase list knows come out because they recur as lines; what body texts share stays."""
+    rng = __import__("random").Random(4)
+    words = [f"w{i}" for i in range(400)]
+    rows, want = [], set()
+    for i in range(60):
+        body = [" ".join(["the office keeps", *rng.sample(words, 30), "and the office keeps", *rng.sample(words, 9)]) + "." for _ in range(3)]
+        lines = ["Xanthe quorl", "Vimble torvo", "", f"# {words[i]} {words[i + 1]}", "", *body, f"Zorble wexit {i} frap the lorn dup", "", "## Spare heading", " ".join(rng.sample(words, 12)) + ".", f"Drum gax {words[i]} of lim pex tor vell"]
+        want |= {(f"p{i}", n) for n in (0, 1, 8, 12)}
+        rows.append((f"p{i}", f"h{i % 3}", "\n".join(lines), f"{words[i]} {words[i + 1]}", [("x", None)]))
+    made = docs(spark, rows).withColumn("sections", F.transform("sections", lambda s: s.withField("heading", F.lit("Spare heading"))))
+    got = {tuple(r) for r in boilerplate.furniture_lines(made.unionByName(made.limit(9)), notices=False).collect()}
+    assert got == want
+
+
+def test_ranks_agree_with_tokens():
+    streams = boilerplate.Streams()
+    streams.add(0, ["a b c d e f g", "a b c d e f h", "x"])
+    streams.add(1, ["x", "a b c"])
+    levels = {n: r for n, r in zip((3, 6), (r for _, r in streams.ranks()))}
+    a, b, x, y, c = streams.starts
+    assert levels[3][a] == levels[3][b] == levels[3][c] and levels[6][a] == levels[6][b] != levels[6][c] and levels[3][x] == levels[3][y] != levels[3][a]
 
 
 def test_recurring_lines(spark):
