@@ -2,10 +2,13 @@
 
 The lengths' histogram (at most `capacity` bars, whatever the number of items) is all that the driver sees. Lengths are put
 into classes of at most 1 % (exact below 100); an item takes its class's largest length. The configuration LP, least
-containers such that every class is covered, is solved by multiplicative weights: each round prices the classes, finds the
-best-paid filling of one container by knapsack dynamic programming, and lowers the prices of what that filling covers.
-The fractional solution is rounded down to whole containers; the items left (a few containers for each filling used) are
-placed best-fit by class, and what space the classes left is offered to small items that remain.
+containers such that every class is covered, is solved by multiplicative weights on the classes: they play against the fillings
+found so far, which yields prices for the classes, and knapsack dynamic programming looks for the filling of one container that pays
+most at these prices. It joins the fillings, until none pays more than GAP over what a container costs. Prices divided by the
+best pay are a solution of the dual, so their total is a lower bound on the containers that any packing of the classes needs.
+
+The fractional solution is scaled until every class is covered and rounded down to whole containers; what is left is placed
+largest class first. The fillings that this placing alone would use take part from the start.
 
 Items are matched with slots without gathering them: an item's rank within its class, by range-partitioned sorting with
 partition offsets, decides its filling and container by arithmetic.
@@ -23,7 +26,8 @@ from pyspark.sql import functions as F
 from ..runtime import running_totals
 
 CAPACITY = 8192
-ROUNDS = 60
+#: At most so many fillings are priced; earlier the program ends within GAP of its lower bound. STEPS of weights between two.
+ROUNDS, GAP, STEPS = 60, 0.002, 800
 
 
 def classes(lengths: np.ndarray) -> np.ndarray:
@@ -37,14 +41,15 @@ def classes(lengths: np.ndarray) -> np.ndarray:
     return size
 
 
-def best_filling(sizes: np.ndarray, prices: np.ndarray, capacity: int, most: np.ndarray) -> np.ndarray:
-    """How many of each class fill one container at the highest total price: unbounded knapsack, then at most `most` of each."""
+def best_filling(sizes: np.ndarray, prices: np.ndarray, capacity: int) -> tuple[np.ndarray, float]:
+    """(how many of each class, their total price) of the best-paid filling of one container: unbounded knapsack."""
     value = np.zeros(capacity + 1)
     choice = np.full(capacity + 1, -1, np.int64)
+    first = np.searchsorted(sizes, np.arange(capacity + 1), side="right")
     for c in range(int(sizes[0]), capacity + 1):
-        n = np.searchsorted(sizes, c, side="right")
+        n = first[c]
         offers = value[c - sizes[:n]] + prices[:n]
-        k = n - 1 - int(offers[::-1].argmax())  # of equal offers the largest item
+        k = int(offers.argmax())
         if offers[k] > value[c - 1]:
             value[c], choice[c] = offers[k], k
         else:
@@ -57,45 +62,12 @@ def best_filling(sizes: np.ndarray, prices: np.ndarray, capacity: int, most: np.
             continue
         counts[choice[c]] += 1
         c -= int(sizes[choice[c]])
-    counts = np.minimum(counts, most)
-    room = capacity - int((counts * sizes).sum())
-    for k in range(len(sizes) - 1, -1, -1):  # where a class ran out, others fill up
-        more = min(int(most[k] - counts[k]), room // int(sizes[k])) if prices[k] > 0 else 0
-        if more > 0:
-            counts[k] += more
-            room -= more * int(sizes[k])
-    return counts
-
+    return counts, float(value[capacity])
 
-def solve(sizes: np.ndarray, numbers: np.ndarray, capacity: int, rounds: int = ROUNDS) -> list[tuple[int, np.ndarray]]:
-    """(containers, items of each class per container) that together hold all items; sizes ascend, none exceeds capacity.
 
-    Only the last slots of a class may stay empty, by as many as are provided in excess.
-    """
-    left = numbers.astype(np.int64).copy()
-    plan: list[tuple[int, np.ndarray]] = []
-    if left.sum() > 0:
-        # Fractional solution: after `rounds` fillings of equal total weight, scaled until every class is covered.
-        used: dict[tuple[int, ...], float] = {}
-        covered = np.zeros(len(sizes))
-        price = sizes.astype(float)
-        for _ in range(rounds if left.sum() > 50 else 0):
-            filling = best_filling(sizes, price, capacity, left)
-            on = filling > 0
-            step = max(1.0, (left[on] / filling[on]).min())
-            key = tuple(filling.tolist())
-            used[key] = used.get(key, 0.0) + step
-            covered += step * filling
-            share = covered / np.maximum(1, left)
-            price = sizes * np.exp(-4.0 * (share - share.min()).clip(max=8))
-        for key, weight in sorted(used.items(), key=lambda x: -x[1]):
-            filling = np.array(key)
-            on = filling > 0
-            whole = int(min(weight, (left[on] // filling[on]).min()))
-            if whole:
-                plan.append((whole, filling))
-                left -= whole * filling
-    # What rounding left: fill containers largest class first, each with as many of the next class as fit.
+def largest_first(sizes: np.ndarray, left: np.ndarray, capacity: int) -> list[tuple[int, np.ndarray]]:
+    """(containers, filling) that hold all items: each container takes as many of the largest classes left as fit."""
+    plan, left = [], left.copy()
     while left.sum() > 0:
         room, filling = capacity, np.zeros(len(sizes), np.int64)
         for k in range(len(sizes) - 1, -1, -1):
@@ -109,22 +81,99 @@ def solve(sizes: np.ndarray, numbers: np.ndarray, capacity: int, rounds: int = R
     return plan
 
 
-def packed(items: DataFrame, *, item: str, size: str, capacity: int = CAPACITY, rounds: int = ROUNDS) -> DataFrame:
-    """(item, piece_no, start, length, container) of all items; an item is cut only if it alone exceeds capacity.
+def weights_game(rates: np.ndarray, steps: int) -> tuple[np.ndarray, np.ndarray]:
+    """(shares of the fillings, weights of the classes): the classes multiply up the weights of what is covered least, the
+    fillings answer with the one that covers most weight. rates: filling x class, share of the class in one container."""
+    rates = rates / rates.max()
+    cover, chosen, sum_weight = np.zeros(rates.shape[1]), np.zeros(len(rates)), np.zeros(rates.shape[1])
+    for k in range(1, steps + 1):
+        weight = np.exp(-np.sqrt(np.log(len(cover) + 1) / k) * 4 * (cover - cover.min()) / max(rates.mean() * 4, 1e-12) ** 0.5)
+        weight /= weight.sum()
+        best = int((rates @ weight).argmax())
+        chosen[best] += 1
+        cover += rates[best]
+        sum_weight += weight
+    return chosen / steps, sum_weight / steps
 
-    An item over capacity is cut into pieces that fill a container each, and the rest, which is packed like an item. Items of
-    size 0 or null go to container 0 with length 0, which takes no space. Repeated (item, size) rows count once; other
-    columns are ignored.
+
+def solve(sizes: np.ndarray, numbers: np.ndarray, capacity: int, rounds: int = ROUNDS, gap: float = GAP) -> tuple[list[tuple[int, np.ndarray]], float]:
+    """([(containers, items of each class per container)], lower bound) that together hold all items; sizes ascend, none exceeds
+    capacity.
+
+    Only the last slots of a class may stay empty, by as many as are provided in excess.
     """
+    numbers = numbers.astype(np.int64)
+    on = numbers > 0
+    if not on.any():
+        return [], 0.0
+    used_sizes, need = sizes[on], numbers[on]
+    widen = lambda f: np.bincount(np.flatnonzero(on), f, len(sizes)).astype(np.int64)
+    simple = largest_first(used_sizes, need, capacity)
+    fillings = [f for _, f in simple] + [np.eye(len(need), dtype=np.int64)[k] * min(int(need[k]), capacity // int(used_sizes[k])) for k in range(len(need))]
+    known = {f.tobytes() for f in fillings}
+    lower = float((used_sizes * need).sum() / capacity)
+    price, best = used_sizes / capacity, np.array([float(n) for n, _ in simple])
+    for _ in range(rounds):
+        filling, pay = best_filling(used_sizes, price, capacity)
+        lower = max(lower, float(price @ need) / pay)
+        if best.sum() <= max(lower * (1 + gap), np.ceil(lower - 1e-9)):
+            break
+        if filling.tobytes() not in known:
+            known.add(filling.tobytes())
+            fillings.append(filling)
+        rates = np.array(fillings) / need
+        shares, weight = weights_game(rates, STEPS)
+        # Scaled so that every class is covered.
+        covered = float((shares @ rates).min())
+        if covered > 0 and 1 / covered < best.sum():
+            best = shares / covered
+        price = weight / need
+    left, plan = need.copy(), []
+    for k in np.argsort(-best, kind="stable"):
+        f = fillings[k]
+        whole = int(min(np.floor(best[k] + 1e-9), (left[f > 0] // f[f > 0]).min()))
+        if whole:
+            plan.append((whole, f))
+            left -= whole * f
+    plan += largest_first(used_sizes, left, capacity)
+    plan = min(plan, simple, key=lambda p: sum(n for n, _ in p))  # rounding can lose what the program gained
+    return [(n, widen(f)) for n, f in plan], lower
+
+
+def _sizes(items: DataFrame, item: str, size: str, capacity: int) -> DataFrame:
     slim = items.select(F.col(item).alias("item"), F.greatest(F.coalesce(F.col(size).cast("bigint"), F.lit(0)), F.lit(0)).alias("size")).distinct()
-    tail = slim.withColumn("tail", F.expr(f"size % {capacity}"))
+    return slim.withColumn("tail", F.expr(f"size % {capacity}"))
+
+
+def _planned(tail: DataFrame, capacity: int, rounds: int):
+    """Lengths, their numbers and classes, the classes' sizes, the plan and its lower bound."""
     histogram = tail.where(F.col("tail") > 0).groupBy("tail").count().orderBy("tail").collect()  # at most `capacity` rows
     lengths = np.array([r["tail"] for r in histogram], np.int64)
     numbers = np.array([r["count"] for r in histogram], np.int64)
-    size_of = classes(lengths)
-    sizes, index = np.unique(size_of, return_inverse=True)
+    sizes, index = np.unique(classes(lengths), return_inverse=True)
     totals = np.bincount(index, numbers, len(sizes)).astype(np.int64) if len(sizes) else np.zeros(0, np.int64)
-    plan = solve(sizes, totals, capacity, rounds) if len(sizes) else []
+    plan, lower = solve(sizes, totals, capacity, rounds) if len(sizes) else ([], 0.0)
+    return lengths, numbers, index, sizes, plan, lower
+
+
+def containers_needed(items: DataFrame, *, item: str, size: str, capacity: int = CAPACITY, rounds: int = ROUNDS) -> tuple[int, float, float]:
+    """(containers that `packed` uses, lower bound by the program's dual, lower bound by sizes alone), full pieces included."""
+    sized = _sizes(items, item, size, capacity)
+    full, volume = sized.agg(F.coalesce(F.sum(F.expr(f"size div {capacity}")), F.lit(0)), F.coalesce(F.sum("tail"), F.lit(0))).first()
+    *_, plan, lower = _planned(sized, capacity, rounds)
+    return full + sum(n for n, _ in plan), full + lower, full + volume / capacity
+
+
+def packed(items: DataFrame, *, item: str, size: str, capacity: int = CAPACITY, rounds: int = ROUNDS) -> DataFrame:
+    """(item, piece_no, start, length, container) of all items; an item is cut only if it alone exceeds capacity.
+
+    An item over capacity is cut into pieces that fill a container each, and the rest, which is packed like an item. Items of
+    size 0 or null go to container 0 with length 0, which takes no space. Repeated (item, size) rows count once; other
+    columns are ignored.
+    """
+    tail = _sizes(items, item, size, capacity)
+    slim = tail.drop("tail")
+    lengths, numbers, index, sizes, plan, _ = _planned(tail, capacity, rounds)
     first = np.cumsum([0, *[n for n, _ in plan]])
     # Of each class: the rank its slots in each filling start from, the slots per container, and the first container.
     slots = []

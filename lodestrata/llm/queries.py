@@ -7,11 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..runtime import table
+from ..runtime import cut, table
 from .boilerplate import furniture_lines, main_body
 from .leakage import leaked_items
 from .mixing import mixed_documents, mixture_plan
-from .packing import CAPACITY, packed
+from .packing import CAPACITY, containers_needed, packed
 from .pairs import defective_pairs
 from .quality import STATISTICS, not_prose, outlier_scores, section_statistics
 from .repeated_lines import recurring_lines, section_lines, without_recurring_lines
@@ -84,8 +84,12 @@ def p7_pieces(s: SparkSession, d: str) -> DataFrame:
     return split_sections(table(s, d, "parsed_docs")).withColumnRenamed("doc", "parsed_id")
 
 
+def _sized(s: SparkSession, d: str) -> DataFrame:
+    return table(s, d, "documents").select("doc_id", F.octet_length("text").alias("size"))
+
+
 def _packed(s: SparkSession, d: str) -> DataFrame:
-    return packed(table(s, d, "documents").select("doc_id", F.octet_length("text").alias("size")), item="doc_id", size="size")
+    return packed(_sized(s, d), item="doc_id", size="size")
 
 
 def p8_found(s: SparkSession, d: str) -> DataFrame:
@@ -98,9 +102,24 @@ def p8_assignment(s: SparkSession, d: str) -> DataFrame:
     return _packed(s, d).withColumnRenamed("item", "doc_id")
 
 
+def p8_documents(s: SparkSession, d: str) -> DataFrame:
+    """Of each document the pieces and bytes that the assignment holds, and whether they follow each other without a gap."""
+    pieces = _packed(s, d).groupBy(F.col("item").alias("doc_id"))
+    follow = F.sum("length") == F.max(F.col("start") + F.col("length"))
+    return pieces.agg(F.count_if(F.col("length") > 0).alias("pieces"), F.sum("length").alias("bytes"), follow.alias("whole"))
+
+
+def p8_containers(s: SparkSession, d: str) -> DataFrame:
+    """What the containers hold in all, and whether none is over the capacity."""
+    filled = _packed(s, d).where(F.col("length") > 0).groupBy("container").agg(F.sum("length").alias("filled"))
+    return filled.agg(F.sum("filled").alias("bytes"), (F.max("filled") <= CAPACITY).alias("all_fit"), (F.count(F.lit(1)) * CAPACITY <= F.sum("filled") * 1.05 + CAPACITY).alias("within_5_percent"))
+
+
 def p8_unused_space(s: SparkSession, d: str) -> DataFrame:
     filled = _packed(s, d).where(F.col("length") > 0).groupBy("container").agg(F.sum("length").alias("filled"))
-    return filled.agg(F.count(F.lit(1)).alias("containers"), F.sum("filled").alias("tokens"), F.max("filled").alias("fullest"), F.round(1 - F.sum("filled") / (F.count(F.lit(1)) * CAPACITY), 6).alias("unused"))
+    _, dual, volume = containers_needed(_sized(s, d), item="doc_id", size="size")
+    bounds = [F.lit(round(dual, 3)).alias("dual_bound"), F.lit(round(volume, 3)).alias("size_bound")]
+    return filled.agg(F.count(F.lit(1)).alias("containers"), F.sum("filled").alias("tokens"), F.max("filled").alias("fullest"), F.round(1 - F.sum("filled") / (F.count(F.lit(1)) * CAPACITY), 6).alias("unused")).select("*", *bounds)
 
 
 def _plan(s: SparkSession, d: str) -> DataFrame:
@@ -112,12 +131,22 @@ def p9_found(s: SparkSession, d: str) -> DataFrame:
 
 
 def p9_plan(s: SparkSession, d: str) -> DataFrame:
-    columns = [F.round(c, 6).alias(c) for c in ("budget", "repeats", "actual_share")]
-    return _plan(s, d).select("source", "target_share", "max_repeats", "docs", "held", *columns, "falls_short")
+    columns = [F.round(c, 6).alias(c) for c in ("exponent", "tempered_share", "repeats", "actual_share")]
+    return _plan(s, d).select("source", "target_share", "max_repeats", "docs", "held", "budget", *columns, "falls_short")
+
+
+def _mixed(s: SparkSession, d: str) -> DataFrame:
+    return mixed_documents(table(s, d, "documents"), cut(_plan(s, d)))
 
 
 def p9_documents(s: SparkSession, d: str) -> DataFrame:
-    return mixed_documents(table(s, d, "documents"), _plan(s, d)).withColumnRenamed("id", "doc_id")
+    return _mixed(s, d).withColumnRenamed("id", "doc_id")
+
+
+def p9_actual_shares(s: SparkSession, d: str) -> DataFrame:
+    """What the chosen copies add up to."""
+    taken = _mixed(s, d).groupBy("source").agg(F.count(F.lit(1)).alias("copies"), F.sum("size").alias("taken"))
+    return taken.crossJoin(F.broadcast(taken.agg(F.sum("taken").alias("whole")))).select("source", "copies", "taken", F.round(F.col("taken") / F.col("whole"), 6).alias("actual_share"))
 
 
 def p10_found(s: SparkSession, d: str) -> DataFrame:
@@ -129,7 +158,7 @@ def p10_sentences(s: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    found = [p1_found, p1_leaked_fields, p2_found, p2_statistics, p4_found, p4_defect_types, p5_found, p5_main_body, p6_found, p6_lines, p6_clean_sections, p7_found, p7_pieces, p8_found, p8_assignment, p8_unused_space, p9_found, p9_plan, p9_documents, p10_found, p10_sentences]
+    found = [p1_found, p1_leaked_fields, p2_found, p2_statistics, p4_found, p4_defect_types, p5_found, p5_main_body, p6_found, p6_lines, p6_clean_sections, p7_found, p7_pieces, p8_found, p8_assignment, p8_documents, p8_containers, p8_unused_space, p9_found, p9_plan, p9_documents, p9_actual_shares, p10_found, p10_sentences]
     return {f.__name__: f for f in found}
 
 
@@ -147,6 +176,20 @@ _RECURRING = rf"""
 """
 
 
+# The mix where no source that can meet its target comes to its limit by filling up for the others: the exponent is 1.
+_MIX = """WITH t AS (SELECT source, max(target_share) AS target_share, max(max_repeats) AS max_repeats FROM mix_targets GROUP BY source),
+    h AS (SELECT source, count(*) AS docs, CAST(sum(strlen(text)) AS BIGINT) AS held FROM documents GROUP BY source), w AS (SELECT CAST(sum(strlen(text)) AS DOUBLE) AS total FROM documents),
+    p AS (SELECT t.*, coalesce(docs, 0) AS docs, coalesce(held, 0) AS held, total, coalesce(held, 0) * max_repeats < target_share * total OR coalesce(held, 0) = 0 AS pinned, coalesce(held, 0) * max_repeats < target_share * total AS short FROM t LEFT JOIN h ON h.source = t.source, w),
+    r AS (SELECT sum(held * max_repeats) FILTER (pinned) AS given, sum(target_share) FILTER (NOT pinned) AS free FROM p),
+    plan AS (SELECT p.*, CASE WHEN pinned THEN 0.0 ELSE target_share / free END AS tempered, CAST(CASE WHEN pinned THEN held * max_repeats ELSE floor(target_share / free * (total - coalesce(given, 0))) END AS BIGINT) AS budget FROM p, r)
+    """
+_TAKEN = """, d AS (SELECT DISTINCT doc_id, source, strlen(text) AS size FROM documents WHERE strlen(text) > 0),
+    c AS (SELECT d.*, held, budget, CAST(unnest(range(CAST(ceil(budget / held) AS BIGINT))) AS INT) AS pass_no FROM d JOIN plan USING (source) WHERE budget > 0),
+    u AS (SELECT *, pass_no * held + sum(size) OVER (PARTITION BY source, pass_no ORDER BY md5('order|0|' || pass_no || '|' || doc_id), doc_id) - size AS before FROM c),
+    placed AS (SELECT doc_id, source, size, pass_no, CAST(floor(before / budget * greatest(1, ceil((SELECT sum(budget) FROM plan) / 1048576.0))) AS BIGINT) AS block_no, md5('block|0|' || pass_no || '|' || doc_id) AS h FROM u WHERE before < budget)
+    """
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "p6_found": _RECURRING + "SELECT DISTINCT parsed_id, section_no, line_no FROM hit",
@@ -154,13 +197,13 @@ def oracle_sql() -> dict[str, str]:
         "p7_found": """SELECT DISTINCT parsed_id, section_no FROM (SELECT parsed_id, CAST(unnest(range(len(sections))) AS INT) AS section_no, unnest(sections) AS sec FROM parsed_docs)
             WHERE length(sec.text) > 1500 AND sec.is_table IS NOT TRUE""",
         "p8_found": "SELECT DISTINCT doc_id FROM documents WHERE strlen(text) > 8192",
+        "p8_documents": "SELECT doc_id, greatest(ceil(strlen(coalesce(text, '')) / 8192.0), 0)::BIGINT AS pieces, strlen(coalesce(text, '')) AS bytes, true AS whole FROM (SELECT DISTINCT doc_id, text FROM documents)",
+        "p8_containers": "SELECT CAST(sum(strlen(text)) AS BIGINT) AS bytes, true AS all_fit, true AS within_5_percent FROM (SELECT DISTINCT doc_id, text FROM documents)",
         "p9_found": """SELECT t.source FROM (SELECT source, max(target_share) AS target_share, max(max_repeats) AS max_repeats FROM mix_targets GROUP BY source) t
             LEFT JOIN (SELECT source, sum(strlen(text)) AS held FROM documents GROUP BY source) d ON d.source = t.source
             WHERE coalesce(held, 0) * max_repeats < target_share * (SELECT sum(strlen(text)) FROM documents)""",
-        "p9_plan": """WITH t AS (SELECT source, max(target_share) AS target_share, max(max_repeats) AS max_repeats FROM mix_targets GROUP BY source),
-            h AS (SELECT source, count(*) AS docs, CAST(sum(strlen(text)) AS BIGINT) AS held FROM documents GROUP BY source),
-            p AS (SELECT t.*, coalesce(docs, 0) AS docs, coalesce(held, 0) AS held, (SELECT CAST(sum(strlen(text)) AS DOUBLE) FROM documents) AS total FROM t LEFT JOIN h ON h.source = t.source),
-            b AS (SELECT *, least(target_share * total, CAST(held * max_repeats AS DOUBLE)) AS b FROM p)
-            SELECT source, target_share, max_repeats, docs, held, round(b, 6) AS budget, CASE WHEN held > 0 THEN round(b / held, 6) ELSE 0.0 END AS repeats,
-            round(b / (SELECT sum(b) FROM b), 6) AS actual_share, held * max_repeats < target_share * total AS falls_short FROM b""",
+        "p9_plan": _MIX + """SELECT source, target_share, max_repeats, docs, held, budget, 1.0 AS exponent, round(tempered, 6) AS tempered_share, CASE WHEN held > 0 THEN round(budget / held, 6) ELSE 0.0 END AS repeats,
+            round(budget / (SELECT sum(budget) FROM plan), 6) AS actual_share, short AS falls_short FROM plan""",
+        "p9_documents": _MIX + _TAKEN + "SELECT doc_id, source, size, pass_no, block_no, row_number() OVER (ORDER BY block_no, h, source, doc_id) AS position FROM placed",
+        "p9_actual_shares": _MIX + _TAKEN + "SELECT source, count(*) AS copies, CAST(sum(size) AS BIGINT) AS taken, round(sum(size) / (SELECT sum(size) FROM placed), 6) AS actual_share FROM placed GROUP BY source",
     }

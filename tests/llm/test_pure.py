@@ -95,10 +95,20 @@ def test_packing_plan_holds_everything():
     rng = np.random.default_rng(1)
     sizes = np.unique(rng.integers(1, 1000, 60))
     numbers = rng.integers(1, 200, len(sizes))
-    plan = packing.solve(sizes, numbers, 1000, rounds=40)
+    plan, lower = packing.solve(sizes, numbers, 1000, rounds=20)
     assert all((f * sizes).sum() <= 1000 for _, f in plan)
     assert (sum(n * f for n, f in plan) >= numbers).all()
-    assert sum(n for n, _ in plan) <= 1.1 * (sizes * numbers).sum() / 1000 + 2
+    assert lower <= sum(n for n, _ in plan) <= 1.1 * (sizes * numbers).sum() / 1000 + 2
+    assert packing.solve(np.array([5]), np.array([3]), 10)[0] and packing.solve(np.array([5]), np.array([0]), 10) == ([], 0.0)
+
+
+def test_packing_program_beats_largest_first():
+    import numpy as np
+
+    sizes, numbers = np.array([23, 26, 27, 51]), np.array([1200, 600, 600, 600])
+    plan, lower = packing.solve(sizes, numbers, 100)
+    assert sum(n for n, _ in packing.largest_first(sizes, numbers, 100)) == 1100
+    assert 900 <= sum(n for n, _ in plan) <= 910 and 895 <= lower <= 900
 
 
 def test_tempering():

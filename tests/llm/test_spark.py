@@ -120,18 +120,36 @@ def test_packing(spark):
 def test_mixing(spark):
     rows = [(i, "a", "x" * 10) for i in range(50)] + [(100 + i, "b", "é" * 5) for i in range(5)] + [(200, None, "zz"), (201, "other", None)]
     d = spark.createDataFrame(rows, "doc_id long, source string, text string")
-    t = spark.createDataFrame([("a", 0.3, 1), ("b", 0.6, 3), ("none", 0.1, 2), ("a", 0.3, 1)], "source string, target_share double, max_repeats int")
-    plan = mixing.mixture_plan(d, t)
-    got = {r["source"]: r for r in plan.collect()}
-    assert got["b"]["falls_short"] and got["none"]["falls_short"] and not got["a"]["falls_short"]
-    assert got["b"]["repeats"] == 3 and abs(sum(r["actual_share"] for r in got.values()) - 1) < 1e-9
-    taken = mixing.mixed_documents(d, plan)
-    assert taken.where("source = 'b'").agg(F.sum("copies")).first()[0] == 15
-    size = taken.where("source = 'a'").agg(F.sum("copies")).first()[0] * 10
-    assert 0 <= size - got["a"]["budget"] < 10
+    t = spark.createDataFrame([("a", 0.3, 20), ("b", 0.6, 3), ("none", 0.1, 2), ("a", 0.3, 20)], "source string, target_share double, max_repeats int")
+    for most_local in (10, 0):
+        plan = mixing.mixture_plan(d, t, most_local=most_local)
+        got = {r["source"]: r for r in plan.collect()}
+        assert got["b"]["falls_short"] and got["none"]["falls_short"] and not got["a"]["falls_short"]
+        assert got["b"]["repeats"] == 3 and got["a"]["budget"] == 552 - 150 and got["none"]["budget"] == 0 and abs(sum(r["actual_share"] for r in got.values()) - 1) < 1e-9
+    taken = mixing.mixed_documents(d.unionByName(d.limit(7)), plan, block=100).toPandas()
+    assert (taken[taken.source == "b"].groupby("id").size() == 3).all() and 0 <= taken[taken.source == "a"]["size"].sum() - got["a"]["budget"] < 10
+    assert sorted(taken.position) == list(range(1, len(taken) + 1)) and not taken.duplicated(["id", "pass_no"]).any()
+    assert taken.sort_values("position").block_no.is_monotonic_increasing and taken.block_no.nunique() == 6
+    shares = taken[taken.source == "b"].groupby("block_no")["size"].sum()
+    assert shares.max() <= 30 + 20 and len(shares) == 6  # every block holds its part
     assert mixing.mixture_plan(d.limit(0), t).count() == 3 and mixing.mixture_plan(d, t.limit(0)).count() == 0
 
 
+def test_mixing_tempers_to_the_limits(spark):
+    rows = [(i, "a", "x" * 10) for i in range(90)] + [(100 + i, "b", "y" * 10) for i in range(10)] + [(200 + i, "c", "z" * 10) for i in range(4)]
+    d = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    t = spark.createDataFrame([("a", 0.4, 5), ("b", 0.1, 2), ("c", 0.5, 2)], "source string, target_share double, max_repeats int")
+    plans = [{r["source"]: r for r in mixing.mixture_plan(d, t, most_local=k).collect()} for k in (10, 0)]
+    for got in plans:
+        assert got["c"]["budget"] == 80 and 0 < got["b"]["exponent"] < 1.0 or got["b"]["budget"] <= 200
+        assert abs(sum(r["budget"] for r in got.values()) - 1040) <= 3
+        assert all(r["budget"] <= r["held"] * r["max_repeats"] for r in got.values())
+    assert {s: r["budget"] for s, r in plans[0].items()} == {s: r["budget"] for s, r in plans[1].items()}
+    low = {r["source"]: r for r in mixing.mixture_plan(d, t, target_entropy=0.4).collect()}
+    x = [low[s]["tempered_share"] for s in "ab"]
+    assert abs(mixing.entropy(dict(enumerate(x))) - 0.4) < 1e-3
+
+
 def test_pairs_and_sentences(spark):
     e = spark.createDataFrame([("1", '{"question": "Who?", "answer": ""}'), ("1", '{"question": "Who?", "answer": ""}'), ("2", None), (None, "{}"), ("3", '{"question": "Who?", "answer": "a deputy"}')], "id string, payload string")
     assert {tuple(r) for r in pairs.defective_pairs(e).select("id", "defect").collect()} == {("1", "empty"), ("2", "empty")}
