@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -18,28 +20,18 @@ def tokens(text: str) -> int:
 
 
 def pack_sentences(text: str, most: int = 512, overlap: int = 64) -> list[str]:
-    """Sentences accumulated up to `most` tokens; a chunk opens with the sentences at the end of the one before that fit
-    into `overlap` tokens. A sentence over the limit is a chunk of its own."""
-    chunks: list[str] = []
-    held: list[tuple[str, int]] = []
-    fresh = False
-    for s in (s.strip() for s in _SPLIT.split(text.strip())):
-        if not s:
-            continue
-        n = tokens(s)
-        if fresh and sum(k for _, k in held) + n > most:
-            chunks.append(" ".join(x for x, _ in held))
-            tail, room = [], overlap
-            for x, k in reversed(held):
-                if k > room:
-                    break
-                tail.insert(0, (x, k))
-                room -= k
-            held = tail
-        held.append((s, n))
-        fresh = True
-    if fresh:
-        chunks.append(" ".join(x for x, _ in held))
+    """Sentences packed up to `most` tokens; a chunk opens with the last sentences of the one before that together fit
+    into `overlap` tokens, and holds at least one new sentence, however long.
+
+    A chunk is a range of sentences. With the running token totals its end and its opening are found by bisection.
+    """
+    sentences = [s.strip() for s in _SPLIT.split(text.strip()) if s.strip()]
+    upto = list(accumulate(map(tokens, sentences), initial=0))
+    chunks, start, fresh = [], 0, 0
+    while fresh < len(sentences):
+        end = max(fresh + 1, bisect_right(upto, upto[start] + most, fresh) - 1)
+        chunks.append(" ".join(sentences[start:end]))
+        start, fresh = bisect_left(upto, upto[end] - overlap, start, end), end
     return chunks
 
 
