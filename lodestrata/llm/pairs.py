@@ -17,10 +17,11 @@ from .sentences import NEVER, sentence_spans
 DEFECTS = ("empty", "copy", "refusal", "language", "truncated")
 
 # What stands for a missing answer, in lower case without surrounding marks.
-PLACEHOLDERS = set(
-    "n/a na n.a null none nil nan undefined tbd tba todo to be determined|to be added|to be done|pending|placeholder|answer|your answer|your answer here|answer here|insert answer|insert answer here|"
-    "output|response|empty|blank|missing|no answer|not available|not provided|xxx|xx|...|lorem ipsum|s/o|k. a|keine angabe|sin respuesta|sans réponse|pas de réponse|ohne antwort".replace(" tbd", "|tbd").replace(" tba", "|tba").replace(" todo", "|todo").replace("n/a na n.a null none nil nan undefined", "n/a|na|n.a|null|none|nil|nan|undefined").split("|")
-)
+PLACEHOLDERS = {
+    "n/a", "na", "n.a", "null", "none", "nil", "nan", "undefined", "tbd", "tba", "todo", "to be determined", "to be added", "to be done", "pending", "placeholder",
+    "answer", "your answer", "your answer here", "answer here", "insert answer", "insert answer here", "output", "response", "empty", "blank", "missing",
+    "no answer", "not available", "not provided", "xxx", "xx", "...", "lorem ipsum", "s/o", "k. a", "keine angabe", "sin respuesta", "sans réponse", "pas de réponse", "ohne antwort",
+}
 # Phrases that open a refusal, in lower case with straight apostrophes.
 REFUSAL = re.compile(
     "(?:" + "|".join([
@@ -45,6 +46,8 @@ _FUNCTION_END = set(
     "le les des du et ou que qui dans pour par sur ne pas au aux son sa ses est a été puis sans selon pendant parce".split()
 )
 _ITEM = re.compile(r"\s*(?:[-*•‣–]|\(?(?:\d{1,3}|[a-z]|[ivx]{1,4})\)|\d{1,3}\.)\s+\S")
+#: A reference in brackets after the last sentence.
+REFERENCE = re.compile(r"([.!?…。！？।؟۔][\"'”’»)]*)\s*[(\[（][^()\[\]（）\n]{1,60}[)\]）]$")
 _PAIRS = {"(": ")", "[": "]", "{": "}", "«": "»", "“": "”", "„": "“", "「": "」", "（": "）"}
 
 
@@ -69,7 +72,8 @@ def is_empty(answer: str | None) -> bool:
 
 
 def is_copy(prompt: str | None, answer: str) -> bool:
-    """The answer is the prompt, once or several times, apart from case, punctuation, white space and a label."""
+    """The answer is the prompt, once or several times, apart from case, punctuation, white space and a label, or four words or
+    more of its beginning."""
     wanted = _bare(prompt or "")
     if len(wanted) < 4:
         return False
@@ -78,6 +82,8 @@ def is_copy(prompt: str | None, answer: str) -> bool:
         given = _bare(candidate)
         if given and len(given) % len(wanted) == 0 and given == wanted * (len(given) // len(wanted)):
             return True
+        if len(candidate.split()) >= 4 and len(given) < len(wanted) and wanted.startswith(given):
+            return True
     return False
 
 
@@ -111,6 +117,7 @@ def is_truncated(answer: str) -> bool:
     """Running text that stops before its last sentence is complete; short answers and lists don't count as such."""
     text = answer.strip()
     text = re.sub(r"(?:\s*(?:\[\d+\]|\(\d+\)|\*\*|__|`+))+$", "", text).strip()
+    text = REFERENCE.sub(r"\1", text)
     lines = [line for line in text.split("\n") if line.strip()]
     if not lines:
         return False
@@ -151,7 +158,7 @@ def defects(prompt: str | None, answer: str | None) -> list[str]:
         return ["empty"]
     found = []
     if is_copy(prompt, answer):
-        return ["copy"]
+        found.append("copy")
     if is_refusal(prompt, answer):
         found.append("refusal")
     if is_other_language(prompt, answer):

@@ -8,9 +8,11 @@ value, so a value that most sections share is not certain to be typical. An outl
 tails in which non-prose lies (few sentence ends, few common words, many symbols) and for the smaller tail of the other
 two, -log of the probability.
 
-A section whose score reaches SCORE is a candidate, and so is one beyond the absolute bounds of BOUNDS, as the score says
-little where most of a language is no prose. What a candidate is, list, table or junk, or prose after all, is decided by its
-shape. SCORE is one nat: the mean of a single statistic's score, so sections typical in every respect are no candidates.
+A section whose score reaches SCORE is a candidate. Five independent statistics of an ordinary section add up to five nats on
+average; as prose keeps its tails together, hardly any prose gets there. Where less than half of a language's sections end half of
+their lines in punctuation, ranks cannot tell what is unusual there, so all its sections are candidates; this depends on the
+language's distribution only, not on its size. Of the candidates those that hold a readable sentence are let go (a page can mix
+both), the others are named list, table or junk by their shape.
 """
 
 from __future__ import annotations
@@ -29,9 +31,9 @@ from .shapes import _WORD, shape
 STATISTICS = ("word_count", "mean_word_length", "symbol_ratio", "punctuated_lines", "common_words")
 #: The tail that counts of each statistic: low, high, or the smaller of both.
 TAILS = {"word_count": "both", "mean_word_length": "both", "symbol_ratio": "high", "punctuated_lines": "low", "common_words": "low"}
-SCORE = 1.0
-#: Beyond these a section is a candidate whatever its language holds: fewer words, sentence ends or common words, more symbols.
-BOUNDS = {"word_count": 5, "punctuated_lines": 1.0, "common_words": 0.15, "symbol_ratio": 0.1}
+SCORE = 5.0
+#: Share of sections with at least half of their lines ended from which a language counts as mostly prose.
+MOSTLY = 0.5
 _ENDS = frozenset(".!?…。！？।؟۔։።။។:;\"'”’»)」』）")
 _COMMON = {lang: frozenset(ws) for lang, ws in COMMON.items()}
 _BLANK, _SYMBOL = re.compile(r"\s+"), re.compile(r"[\W_]+")
@@ -83,7 +85,8 @@ def section_statistics(docs: DataFrame, *, doc: str = "parsed_id", sections: str
 
 
 def outlier_scores(rows: DataFrame, *, group: str = "lang") -> DataFrame:
-    """rows with each statistic's exact fractional rank `<statistic>_rank` within its group, `score` and the group's `size`.
+    """rows with each statistic's exact fractional rank `<statistic>_rank` within its group, `score`, the group's `size` and its
+    share `ended` of rows with punctuated_lines of a half or more.
 
     The rank is the share of the group's rows with at most that value; ties share it. A null group is a group; null statistics
     count as the lowest value.
@@ -94,7 +97,8 @@ def outlier_scores(rows: DataFrame, *, group: str = "lang") -> DataFrame:
     pairs = F.array(*[F.struct(F.lit(k).alias("stat"), F.coalesce(F.col(s).cast("double"), F.lit(float("-inf"))).alias("value")) for k, s in enumerate(STATISTICS)])
     counted = keyed.select("_group", F.explode(pairs).alias("p")).groupBy("_group", F.col("p.stat").alias("stat"), F.col("p.value").alias("value")).agg(F.count(F.lit(1)).alias("n"))
     below = running_totals(counted, ["_group", "stat"], ["value"], "n", "upto")
-    sizes = keyed.groupBy("_group").agg(F.count(F.lit(1)).alias("size"))
+    ended = F.avg(F.when(F.col("punctuated_lines") >= 0.5, 1.0).otherwise(0.0))
+    sizes = keyed.groupBy("_group").agg(F.count(F.lit(1)).alias("size"), ended.alias("ended"))
     table = cut(below.join(sizes, "_group").select("_group", "stat", "value", "n", (F.col("upto") / F.col("size")).alias("rank"), ((F.col("upto") - F.col("n") / 2) / F.col("size")).alias("low"), ((F.col("size") - F.col("upto") + F.col("n") / 2) / F.col("size")).alias("high")))
     # Equal rows share all their ranks: they are looked up once.
     profile = keyed.groupBy("_group", *STATISTICS).agg(F.count(F.lit(1)).alias("_n"))
@@ -112,6 +116,5 @@ def outlier_scores(rows: DataFrame, *, group: str = "lang") -> DataFrame:
 def not_prose(docs: DataFrame, *, doc: str = "parsed_id", sections: str = "sections", least: float = SCORE) -> DataFrame:
     """(doc, section_no, kind, score, lang, the statistics) of the sections that are list, table or junk."""
     scored = outlier_scores(section_statistics(docs, doc=doc, sections=sections))
-    low = [F.col(s) < BOUNDS[s] for s in ("word_count", "punctuated_lines", "common_words")]
-    beyond = low[0] | low[1] | low[2] | (F.col("symbol_ratio") > BOUNDS["symbol_ratio"])
-    return scored.where(((F.col("score") >= least) | beyond) & (F.col("shape") != "prose")).select("doc", "section_no", F.col("shape").alias("kind"), "score", "lang", *STATISTICS)
+    candidate = (F.col("score") >= least) | (F.col("ended") < MOSTLY)
+    return scored.where(candidate & (F.col("shape") != "prose")).select("doc", "section_no", F.col("shape").alias("kind"), "score", "lang", *STATISTICS)

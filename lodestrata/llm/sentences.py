@@ -13,41 +13,35 @@ import re
 from collections.abc import Iterator
 
 import pandas as pd
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Sentence terminators (Sentence_Break=ATerm and STerm) by script.
-FULL_STOPS = ".․﹒．"
-ENDS = (
-    "!?…‼‽⁇⁈⁉！？"  # common
-    "。｡"  # Chinese, Japanese
-    "։"  # Armenian
-    "؟۔؞"  # Arabic, Urdu
-    "܀܁܂"  # Syriac
-    "߹"  # N'Ko
-    "।॥"  # Devanagari and other Indic scripts
-    "၊။"  # Myanmar
-    "።፧፨"  # Ethiopic
-    "។៕"  # Khmer
-    "᠃᠉"  # Mongolian
-    "᙮᜵᜶"  # Canadian syllabics, Philippine scripts
-    "꓿꘎꘏"  # Lisu, Vai
-)
+from .languages import guess
+
+#: Sentence terminators of all scripts, by their Unicode property: Sentence_Break=ATerm, and STerm with the ellipsis.
+FULL_STOPS, ENDS = ("".join(c for c in map(chr, range(0x21, 0x1FFFF)) if regex.match(rf"[\p{{Sentence_Break={kind}}}{more}]", c)) for kind, more in (("ATerm", ""), ("STerm", "…")))
 CLOSERS = "\"'”’»›)]}」』）】》〉］｝“"
 # Abbreviations that never end a sentence, without their last stop, in lower case.
 NEVER = set(
-    "dr dra mr mrs ms prof st mx rev hon gen col sgt capt lt messrs sr sra srta dña mme mlle mlles mm hr fr frl med dipl ing "
-    "nr núm num art arts pág págs pag fig figs tab abb kap bd ver approx ca cf vs viz e.g i.e eg ie mfg dept vol ch sec par abs "
-    "ex bzw vgl z.b d.h u.a s.u evtl ggf inkl zzgl bspw sog p.ej ej aprox tel rue av env éd chap "
-    "рис табл стр см им ул пр д-р проф акад напр т.ч т.е т.д डॉ श्री प्रो د أ م".split()
+    "dr dra mr mrs ms prof st mx rev hon gen col sgt capt lt messrs sr sra srta dña mme mlle mlles hr fr frl med dipl ing "
+    "nr núm num pág págs pag fig figs tab abb kap bd ver approx ca cf vs viz e.g i.e eg ie mfg dept vol ch abs "
+    "bzw vgl z.b d.h u.a s.u evtl ggf inkl zzgl bspw sog p.ej ej aprox tel rue av env éd chap "
+    "рис табл стр ул пр д-р проф акад напр т.ч т.е т.д डॉ श्री प्रो د أ م".split()
 )
 # Abbreviations that end a sentence only before a capital or an opening mark.
 SOMETIMES = set(
     "p.m a.m pm am inc co corp ltd llc plc bros etc u.s u.k u.n e.u d.c jr esq ph.d m.d hosp ave blvd rd assn univ est "
     "jan feb mar apr jun jul aug sept sep oct nov dec usw etc jh jhd std ud uds cía s.a s.l гг г руб коп др".split()
 )
+# Abbreviations of some languages that are words or units elsewhere.
+SOME_LANGUAGES = {"mm": "fr", "ex": "fr pt", "art": "es fr de it pt", "arts": "es fr it pt", "par": "es fr de", "sec": "es", "см": "ru", "им": "ru"}
 #: Followed by a figure these are references ("No. 14", "p. 24").
-BEFORE_FIGURE = set("no nos n p pp pg s t c cap capt".split())
+BEFORE_FIGURE = set("no nos n p pp pg s t c cap capt art arts par sec ex см".split())
+# Russian pronouns; what stands before them ("gave them.") is no abbreviation.
+_PRONOUN = re.compile(r"\s+(?:Он|Она|Они|Оно|Мы|Вы|Я|Это|Эта|Этот|Его|Её|Их)\b")
+_EXAMPLE = re.compile(r"\b[pP]\.\s*e[xj]$")
+_MEASURE = re.compile(r"\d\s*\S+$")
 # What a German ordinal can stand before.
 ORDINAL = re.compile(
     r"\s+(?:Januar|Jänner|Februar|März|April|Mai|Juni|Juli|August|September|Oktober|November|Dezember|Quartal|Jahrhundert|Halbjahr|"
@@ -109,7 +103,9 @@ def _ends_sentence(text: str, start: int, m: re.Match, end: int) -> bool:
         return False
     if closed:
         return True
-    if token in NEVER:
+    if token in NEVER or _EXAMPLE.search(before):
+        return False
+    if token in SOME_LANGUAGES and not _MEASURE.search(before) and not _PRONOUN.match(text, after) and guess(text[max(0, stop - 500) : after + 500]) in SOME_LANGUAGES[token].split():
         return False
     if token in BEFORE_FIGURE and first.isdigit():
         return False

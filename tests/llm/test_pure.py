@@ -24,6 +24,9 @@ def cut(text):
     ("هل جاء د. علي؟ نعم.", ["هل جاء د. علي؟", "نعم."]),
     ("ไปที่โรงพยาบาล กินยา A1 สองเม็ด", ["ไปที่โรงพยาบาล", "กินยา A1 สองเม็ด"]),
     ("A heading\n\n- one. Two.\n- three\n\nLine\nbroken. End", ["A heading", "- one. Two.", "- three", "Line\nbroken.", "End"]),
+    ("It left a gap of 5 mm. The clerk saw it.", ["It left a gap of 5 mm.", "The clerk saw it."]), ("This is state of the art. The office has it.", ["This is state of the art.", "The office has it."]),
+    ("MM. Dupont et Roux sont venus pour la visite. Ils sont partis selon l'art. 5 du texte.", ["MM. Dupont et Roux sont venus pour la visite.", "Ils sont partis selon l'art. 5 du texte."]),
+    ("Клерк дал им. Он ушёл в архив.", ["Клерк дал им.", "Он ушёл в архив."]), ("Ini kalimat꧉ Kalimat dua꧉", ["Ini kalimat꧉", "Kalimat dua꧉"]), ("ᱚᱞ ᱪᱤᱠᱤ᱾ ᱚᱞ᱾", ["ᱚᱞ ᱪᱤᱠᱤ᱾", "ᱚᱞ᱾"]),
     ("No space here.The next one.", ["No space here.", "The next one."]),
     ("", []), (" \n\n ", []),
 ])
@@ -42,7 +45,8 @@ def test_sentence_spans_cover_all_visible_text():
 
 @pytest.mark.parametrize(("prompt", "answer", "found"), [
     ("Who signs?", None, ["empty"]), ("Who signs?", " ​\n", ["empty"]), ("Who signs?", "N/A", ["empty"]), ("Who signs?", "[]", ["empty"]),
-    ("Who signs it?", "A: who signs it", ["copy"]), ("Who signs it?", "Who signs it? Who signs it?", ["copy"]),
+    ("Who signs it?", "A: who signs it.", ["copy"]), ("Who signs it?", "Who signs it? Who signs it?", ["copy"]),
+    ("Which form must the clerk file about it and when?", "Which form must the clerk", ["copy", "truncated"]), ("Who signs?", "The clerk signs it. (§12.3)", []),
     ("Who signs?", "I'm sorry, but I can't help with that.", ["refusal"]), ("Wer prüft das?", "Dazu kann ich leider keine Auskunft geben.", ["refusal"]),
     ("What does it say?", 'It opens with "I\'m sorry, but we are unable to approve this" and then names the ground.', []),
     ("Who signs the record?", "La oficina guarda los registros durante un año según la norma.", ["language"]),
