@@ -93,6 +93,30 @@ def test_pieces_round_trip(seed):
     assert splitting.pieces("", 300, 40) == [(0, 0, 0)] and splitting.pieces("y" * 1000, 300, 40)[0] == (0, 0, 260)
 
 
+def test_structure_tree():
+    body = "word " * 20
+    text = f"# A\n{body}\n\n## B\n\n{body}\n\n## C\n- one\n  more of one\n  - deep\n- two\n\n# D\n{body}"
+    nodes = splitting.tree(text)
+
+    def check(node):
+        at = node[0]
+        for child in node[2]:
+            assert child[0] == at and child[0] < child[1]
+            check(child)
+            at = child[1]
+        assert not node[2] or at == node[1]
+
+    check(nodes)
+    top = [text[a:b][:3] for a, b, _ in nodes[2]]
+    assert top == ["# A", "# D"] and [text[a:b][:4].strip() for a, b, _ in nodes[2][0][2]] == ["# A", "## B", "## C"]
+    for limit in (60, 110, 130, 250):
+        spans = splitting._pack(text, nodes, limit)
+        assert "".join(text[a:b] for a, b in spans) == text and all(b - a <= limit for a, b in spans)
+        assert not any(text[a:b].rstrip().split("\n")[-1].startswith("#") for a, b in spans)
+    items = "".join(f"- item {k} says\n  and goes on\n" for k in range(9))
+    assert all(text.startswith("- item") for text in (items[a:b] for a, b in splitting._pack(items, splitting.tree(items), 70)))
+
+
 def test_packing_plan_holds_everything():
     import numpy as np
 
