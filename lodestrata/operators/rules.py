@@ -43,6 +43,74 @@ def substance_code(text: Column) -> Column:
     return code_of(signals(text))
 
 
+# Patterns of texts that are never taken for boilerplate, by domain.
+ALLOWED = {"healthcare": ["ICD-10", "LOINC", "RxNorm", r"§\d+\.\d+", r"\d+\s*mg", r"PO\s+BID", r"\d+\s*(?:of|/)\s*\d+\s+(?:SIRS|Duke|Ranson|SOFA|criteria|metabolic syndrome)"]}
+
+
+def valid_patterns(patterns: list[str]) -> list[str]:
+    """Those that are regular expressions; a malformed one matches nothing and must not stop the others."""
+    found = []
+    for p in patterns:
+        try:
+            re.compile(p)
+        except re.error:
+            continue
+        found.append(p)
+    return found
+
+
+def allowed_by(text: Column, domain: Column, allowed: dict[str, list[str]]) -> Column:
+    """The first pattern of the domain's list that is found in the text, else null."""
+    found = F.lit(None).cast("string")
+    for name, patterns in allowed.items():
+        match = F.lit(None).cast("string")
+        for p in reversed(valid_patterns(patterns)):
+            match = F.when(text.rlike(p), F.lit(p)).otherwise(match)
+        found = F.when(domain == name, match).otherwise(found)
+    return found
+
+
+def _domains(sources: DataFrame) -> DataFrame:
+    """(source_id, domain), a few rows per registered source; broadcast up to the session's limit."""
+    named = lambda c: F.when(F.col(c) != "", F.col(c))
+    return sources.select(F.col("id").alias("source_id"), F.coalesce(named("domain"), named("config.domain")).alias("domain"))
+
+
+def classified_sections(parsed: DataFrame, sources: DataFrame, *, allowed: dict[str, list[str]]) -> DataFrame:
+    """(parsed_id, section_no, allowlisted, is_boilerplate, emptied, reason) of every section.
+
+    An allowed pattern anywhere saves a section; else one boilerplate line condemns all of it; else the substance checks decide,
+    from which tables are exempt. emptied: nothing is left without its boilerplate lines, which condemns allowed ones too. Null
+    texts count as empty, unknown sources as without a domain.
+    """
+    text = F.col("text")
+    rows = parsed.select("parsed_id", "source_id", F.posexplode("sections").alias("section_no", "s")).select("parsed_id", "source_id", "section_no", F.coalesce("s.text", F.lit("")).alias("text"), F.coalesce("s.is_table", F.lit(False)).alias("is_table"))
+    rows = rows.join(_domains(sources), "source_id", "left")
+    marked = F.lit(False)
+    for p in X.BOILERPLATE:
+        marked = marked | text.rlike(X.java(p))
+    facts = F.struct(allowed_by(text, F.col("domain"), allowed).alias("allow"), marked.alias("marked"), signals(text).alias("signals"), (X.remove_boilerplate(text) == "").alias("emptied"))
+    rows = rows.select("parsed_id", "section_no", "is_table", once(facts).alias("f"))
+    code = F.when(F.col("is_table"), "all_checks_passed").otherwise(code_of(F.col("f.signals")))
+    saved, bad = F.col("f.allow").isNotNull(), F.col("code") != "all_checks_passed"
+    reason = F.when(saved, F.concat(F.lit("domain_allowlist_match:"), "f.allow")).when(F.col("f.marked"), "boilerplate_pattern_match").when(bad, F.col("code")).otherwise("substance_ok")
+    rows = rows.withColumn("code", code)
+    return rows.select("parsed_id", "section_no", saved.alias("allowlisted"), (~saved & (F.col("f.marked") | bad)).alias("is_boilerplate"), F.col("f.emptied").alias("emptied"), reason.alias("reason"))
+
+
+def gated_chunks(chunks: DataFrame, sources: DataFrame, *, allowed: dict[str, list[str]], enforce: bool) -> DataFrame:
+    """chunks with reason_code and passed: tables and allowed texts are exempt, then the line rules, then the substance checks.
+    With enforce only those that passed, else all with their outcome."""
+    text = F.col("text")
+    both = F.struct(signals(text).alias("s"), fineweb_code(text).alias("fw"), allowed_by(text, F.col("_domain"), allowed).alias("allow"))
+    rows = chunks.join(_domains(sources).withColumnRenamed("domain", "_domain"), "source_id", "left").withColumn("_b", once(both))
+    reason = F.when(F.col("is_table"), "table_exempt").when(F.col("_b.allow").isNotNull(), F.concat(F.lit("domain_allowlist_match:"), "_b.allow"))
+    reason = reason.when(F.col("_b.fw") != "passed", F.concat(F.lit("fineweb_"), "_b.fw")).otherwise(code_of(F.col("_b.s")))
+    good = F.coalesce("is_table", F.lit(False)) | F.col("_b.allow").isNotNull() | ((F.col("_b.fw") == "passed") & (F.col("reason_code") == "all_checks_passed"))
+    rows = rows.withColumn("reason_code", reason).withColumn("passed", good).drop("_b", "_domain")
+    return rows.where("passed") if enforce else rows
+
+
 def _chars(lines: Column) -> Column:
     return F.aggregate(lines, F.lit(0).cast("bigint"), lambda a, x: a + F.char_length(x))
 
