@@ -5,6 +5,9 @@ Tables hold each row once (see plans.base.once). Parent references are compared
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, GroupedData, Window
 from pyspark.sql import functions as F
 
@@ -66,8 +69,8 @@ def audit(grouped: GroupedData) -> DataFrame:
 
 
 def hashed(chunks: DataFrame) -> DataFrame:
-    """Chunks with the hash of their text, white space collapsed."""
-    return chunks.where(F.col("text").isNotNull()).withColumn("text_hash", F.sha2(X.strip(F.regexp_replace("text", f"{X.WS}+", " ")), 256))
+    """(chunk_id, source_id, ord, text_hash) of the chunks with a text, rows delivered twice once; texts are hashed where they lie."""
+    return chunks.where(F.col("text").isNotNull()).select("chunk_id", "source_id", "ord", X.text_hash(F.col("text")).alias("text_hash")).distinct()
 
 
 def first_writer(rows: DataFrame) -> DataFrame:
@@ -77,11 +80,22 @@ def first_writer(rows: DataFrame) -> DataFrame:
     return skew_safe_lookup(rows, first, ["text_hash"], "n", rows.count()).select("chunk_id", "text_hash", (F.col("chunk_id") == F.col("_first")).alias("is_new"))
 
 
-def contributors(rows: DataFrame, *, most: int) -> DataFrame:
-    """The first `most` chunk ids of each text by (ord, chunk_id). The rank limit is applied in the tasks before the shuffle."""
-    window = Window.partitionBy("text_hash").orderBy("ord", "chunk_id")
-    ranked = rows.select("text_hash", "ord", "chunk_id").withColumn("k", F.row_number().over(window)).where(F.col("k") <= most)
-    listed = ranked.groupBy("text_hash").agg(F.sort_array(F.collect_list(F.struct("ord", "chunk_id"))).alias("c"))
+def contributors(rows: DataFrame, *, most: int, primary: DataFrame | None = None) -> DataFrame:
+    """(text_hash, contributors): each text's chunk ids, the current primary first, then the others by (ord, chunk_id), at most `most`.
+
+    primary (text_hash, primary_id) is what the ledger holds; without it the first chunk is primary. A primary that is none of the
+    text's chunks is an error. The rank limit is applied in the tasks before the shuffle.
+    """
+    window = Window.partitionBy("text_hash").orderBy(F.col("first").desc(), "ord", "chunk_id")
+    rows = rows.select("text_hash", "ord", "chunk_id")
+    if primary is None:
+        rows = rows.withColumn("first", F.lit(False))
+    else:
+        rows = rows.join(primary, "text_hash", "left").withColumn("first", F.coalesce(F.col("chunk_id") == F.col("primary_id"), F.lit(False)))
+    ranked = rows.withColumn("k", F.row_number().over(window)).where(F.col("k") <= most)
+    listed = ranked.groupBy("text_hash").agg(F.sort_array(F.collect_list(F.struct("k", "chunk_id", "first"))).alias("c"))
+    if primary is not None:
+        listed = listed.withColumn("c", F.when(F.col("c")[0]["first"], F.col("c")).otherwise(F.raise_error(F.lit("the primary is none of the text's contributors"))))
     return listed.select("text_hash", F.array_join(F.transform("c", lambda x: x["chunk_id"]), "|").alias("contributors"))
 
 
@@ -103,42 +117,10 @@ def example_index(examples: DataFrame) -> DataFrame:
     return running_totals(rows, ["dataset"], ["created_at", "id"], "one", "n").select("id", "dataset", (F.col("n") - 1).alias("running_index"))
 
 
-def rag_rows(artifacts: DataFrame, chunks: DataFrame, sources: DataFrame) -> DataFrame:
-    """Chunk rows for retrieval export: an explicit failure is left out, a missing outcome kept; the enriched score."""
-    names = sources.select(F.col("id").alias("source_id"), F.col("name").alias("source_name"), domain().alias("domain"))
-    kept = chunks.where(F.coalesce("substance_passed", F.lit(True))).join(chunk_chain(artifacts).select("chunk_id", "enriched_score"), "chunk_id")
-    return kept.join(names, "source_id", "left").select("chunk_id", "text", "section_path", "page", "source_name", "domain", F.col("enriched_score").alias("quality_score"))
-
-
 def pretrain_rows(artifacts: DataFrame, parsed: DataFrame, least: float = 0.4) -> DataFrame:
     curated = of_type(artifacts, "curated_document").where(F.coalesce("quality_score", F.lit(0.0)) >= least).select(F.col("id").alias("curated_id"), parent().alias("cleaned_id"), "quality_score")
     cleaned = of_type(artifacts, "cleaned_document").select(F.col("id").alias("cleaned_id"), parent().alias("parsed_id"))
-    return curated.join(cleaned, "cleaned_id").join(parsed.select("parsed_id", "text"), "parsed_id").select("curated_id", "parsed_id", "text", "quality_score")
-
-
-def contaminated(examples: DataFrame, artifacts: DataFrame) -> DataFrame:
-    """Parsed documents behind both a QA example's citation and an instruction example's source."""
-    chunks = of_type(artifacts, "chunk").select(F.col("id").alias("c"), parent().alias("doc"))
-    held_out = examples.select(F.get_json_object("payload", "$.citation_chunk_id").alias("c")).join(chunks, "c").select("doc")
-    made = artifacts.where(F.col("artifact_type").isin("enriched_document", "curated_document")).select(F.col("id").alias("s"), parent().alias("k"))
-    cleaned = of_type(artifacts, "cleaned_document").select(F.col("id").alias("k"), parent().alias("doc"))
-    instructed = examples.where(F.array_contains(F.json_object_keys("payload"), "instruction")).select(F.col("source_artifact_id").alias("s"))
-    return held_out.intersect(instructed.join(made, "s").join(cleaned, "k").select("doc"))
-
-
-def composite(artifacts: DataFrame) -> DataFrame:
-    """0.3 parse + 0.4 enrichment + 0.3 passed filters of each curated document; a missing score counts 0.5."""
-    curated = of_type(artifacts, "curated_document").select(F.col("id").alias("curated_id"), parent().alias("cleaned_id"))
-    cleaned = of_type(artifacts, "cleaned_document").select(F.col("id").alias("cleaned_id"), parent().alias("parsed_id"))
-    parsed = of_type(artifacts, "parsed_document").select(F.col("id").alias("parsed_id"), F.get_json_object("metadata", "$.parse_quality").cast("double").alias("parse"))
-    rows = curated.join(cleaned, "cleaned_id", "left").join(parsed, "parsed_id", "left").join(first_child(artifacts, "enriched_document", "cleaned_id", "enriched"), "cleaned_id", "left")
-    score = 0.3 * F.coalesce("parse", F.lit(0.5)) + 0.4 * F.coalesce("enriched_score", F.lit(0.5)) + 0.3
-    return rows.select("curated_id", F.round(F.greatest(F.lit(0.0), F.least(F.lit(1.0), score)), 6).alias("composite"))
-
-
-def recrawl(sources: DataFrame, now: str, days: int = 30) -> DataFrame:
-    stale = F.col("last_crawled_at").isNull() | (F.col("last_crawled_at") < F.to_timestamp(F.lit(now)) - F.expr(f"INTERVAL {days} DAYS"))
-    return sources.select("id", F.when(F.col("last_content_hash").isNull(), "fetch_new").when(stale, "refetch_stale").otherwise("skip_unchanged").alias("decision"))
+    return curated.join(cleaned, "cleaned_id").join(parsed.select("parsed_id", "text"), "parsed_id", "left").select("curated_id", "parsed_id", F.coalesce("text", F.lit("")).alias("text"), "quality_score")
 
 
 def ancestry(artifacts: DataFrame, *, kind: str, most: int) -> DataFrame:
@@ -179,14 +161,35 @@ def tree_nodes(parsed: DataFrame) -> DataFrame:
 
     The parent is the nearest earlier section of a smaller level that is no table. A node ends a page before the next
     section of its level or above starts, no earlier than it starts itself; the last ends with the document, a table where
-    it starts. Everything is decided within the document's own row.
+    it starts. Everything is decided within the document's own row, by a stack of open sections per pass.
     """
-    node = lambda s, i: F.struct(i.alias("no"), (F.regexp_count(F.coalesce(s["section_path"], F.lit("")), F.lit("[.]")) + 1).cast("bigint").alias("level"), s["page"].alias("page"), F.coalesce(s["is_table"], F.lit(False)).alias("t"))
-    rows = parsed.select("parsed_id", "page_count", F.transform("sections", node).alias("ns"))
-    n = F.explode("ns").alias("n")
-    rows = rows.select("parsed_id", "page_count", "ns", n)
-    above = F.filter("ns", lambda m: (m["no"] < F.col("n.no")) & (m["level"] < F.col("n.level")) & ~m["t"])
-    next_ = F.filter("ns", lambda m: (m["no"] > F.col("n.no")) & (m["level"] <= F.col("n.level")))
-    page = F.col("n.page")
-    end = F.when(F.col("n.t"), page).otherwise(F.coalesce(F.greatest(page, F.get(next_, F.lit(0))["page"] - 1), F.greatest(page, "page_count")))
-    return rows.select("parsed_id", F.col("n.no").alias("section_no"), F.col("n.level").alias("level"), F.array_max(F.transform(above, lambda m: m["no"])).alias("parent_no"), page.alias("page_start"), end.alias("page_end"))
+
+    def node(s, i):
+        level = (F.regexp_count(F.coalesce(s["section_path"], F.lit("")), F.lit("[.]")) + 1).cast("bigint")
+        return F.struct(i.alias("no"), level.alias("level"), s["page"].alias("page"), F.coalesce(s["is_table"], F.lit(False)).alias("t"))
+
+    def build(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out = []
+            for name, pages, nodes in zip(batch["parsed_id"], batch["page_count"], batch["ns"]):
+                found, above, below = [], [], []
+                for n in nodes:
+                    smaller = next((a for a in reversed(above) if a["level"] < n["level"]), None)
+                    found.append(smaller["no"] if smaller is not None else None)
+                    if not n["t"]:  # what it hides can be no later section's parent
+                        while above and above[-1]["level"] >= n["level"]:
+                            above.pop()
+                        above.append(n)
+                for k in range(len(nodes) - 1, -1, -1):
+                    n = nodes[k]
+                    while below and below[-1]["level"] > n["level"]:
+                        below.pop()
+                    page = n["page"]
+                    other = below[-1]["page"] - 1 if below and below[-1]["page"] is not None else None if below or pd.isna(pages) else int(pages)
+                    end = page if n["t"] or page is None and other is None else max(x for x in (page, other) if x is not None)
+                    out.append((name, n["no"], n["level"], found[k], page, end))
+                    below.append(n)
+            yield pd.DataFrame(out, columns=["parsed_id", "section_no", "level", "parent_no", "page_start", "page_end"]).astype({"parent_no": "Int32", "page_start": "Int32", "page_end": "Int32"})
+
+    rows = parsed.where(F.col("sections").isNotNull()).select("parsed_id", "page_count", F.transform("sections", node).alias("ns"))
+    return rows.mapInPandas(build, "parsed_id string, section_no int, level bigint, parent_no int, page_start int, page_end int").distinct()

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import artifacts, relational, retrieval, text
+from . import artifacts, exports, relational, retrieval, text
 
-MODULES = [artifacts, text, relational, retrieval]
+MODULES = [artifacts, text, relational, exports, retrieval]
 
 
 def queries():

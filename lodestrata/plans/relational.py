@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import text as X
 from ..operators import registry as R
 from .base import Book
+from .text import HASHED
 
 book = Book()
 queries = lambda: book.queries
@@ -104,7 +104,7 @@ def rejection_histogram(t):
     return rows.groupBy("source_id", F.lower(F.substring_index("rejection_reason", ":", 1)).alias("code")).agg(F.count(F.lit(1)).alias("n"))
 
 
-_H = f"sha256(regexp_replace(regexp_replace(text, '{X.WS}+', ' ', 'g'), '^ | $', '', 'g'))"
+_H = HASHED("text")
 _LEDGER = f"SELECT *, {_H} AS text_hash FROM {CH} c WHERE text IS NOT NULL"
 
 
@@ -123,11 +123,6 @@ def dedup_contributors(t):
     return R.hashed(t("chunks")).groupBy("text_hash").agg(F.count(F.lit(1)).alias("contributor_count"), F.min("chunk_id").alias("least_chunk"), F.countDistinct("source_id").alias("sources"))
 
 
-@book.add(f"SELECT text_hash, array_to_string(list(chunk_id ORDER BY ord, chunk_id)[1:50], '|') AS contributors FROM (SELECT *, row_number() OVER (PARTITION BY text_hash ORDER BY ord, chunk_id) AS k FROM ({_LEDGER})) WHERE k <= 50 GROUP BY text_hash")
-def contributors_capped(t):
-    return R.contributors(R.hashed(t("chunks")), most=50)
-
-
 @book.add(f"""SELECT e.id, e.dataset, CASE WHEN json_exists(payload, '$.question') THEN 'qa' ELSE 'instruction' END AS kind,
     CASE WHEN json_exists(payload, '$.question') THEN payload->>'$.question' WHEN coalesce(payload->>'$.input', '') <> '' THEN (payload->>'$.instruction') || chr(10) || chr(10) || (payload->>'$.input') ELSE payload->>'$.instruction' END AS prompt,
     CASE WHEN json_exists(payload, '$.question') THEN payload->>'$.answer' ELSE payload->>'$.output' END AS completion
@@ -147,35 +142,9 @@ def example_index(t):
     return R.example_index(t("dataset_examples"))
 
 
-@book.add(f"""SELECT c.chunk_id, c.text, c.section_path, c.page, s.name AS source_name, {DOMAIN.replace('domain', 's.domain', 1).replace('config', 's.config')} AS domain, x.enriched_score AS quality_score
-    FROM {CH} c JOIN ({_CHAIN}) x ON x.chunk_id = c.chunk_id LEFT JOIN {SRC} s ON s.id = c.source_id WHERE coalesce(c.substance_passed, true)""")
-def export_rag_corpus(t):
-    return R.rag_rows(t("artifacts"), t("chunks"), t("sources"))
-
-
-@book.add(f"""SELECT u.id AS curated_id, p.parsed_id, p.text, u.quality_score FROM (SELECT id, {PAR} AS k, quality_score FROM {ART} a WHERE artifact_type = 'curated_document' AND coalesce(quality_score, 0) >= 0.4) u
-    JOIN (SELECT id, {PAR} AS p FROM {ART} a WHERE artifact_type = 'cleaned_document') c ON c.id = u.k JOIN {PARSED} p ON p.parsed_id = c.p""")
-def export_pretrain(t):
-    return R.pretrain_rows(t("artifacts"), t("parsed_docs"))
-
-
-@book.add(f"""WITH ev AS (SELECT DISTINCT c.{'p'} AS doc FROM {EX} e JOIN (SELECT id, {PAR} AS p FROM {ART} a WHERE artifact_type = 'chunk') c ON c.id = json_extract_string(e.payload, '$.citation_chunk_id')),
-    tr AS (SELECT DISTINCT k.p AS doc FROM {EX} e JOIN (SELECT id, {PAR} AS k FROM {ART} a WHERE artifact_type IN ('enriched_document', 'curated_document')) n ON n.id = e.source_artifact_id
-    JOIN (SELECT id, {PAR} AS p FROM {ART} a WHERE artifact_type = 'cleaned_document') k ON k.id = n.k WHERE json_exists(payload, '$.instruction'))
-    SELECT doc FROM ev INTERSECT SELECT doc FROM tr""")
-def contamination_direct(t):
-    return R.contaminated(t("dataset_examples"), t("artifacts"))
-
-
-@book.add(f"""SELECT u.id AS curated_id, round(greatest(0, least(1, 0.3 * coalesce(CAST(json_extract(p.metadata, '$.parse_quality') AS DOUBLE), 0.5) + 0.4 * coalesce(e.quality_score, 0.5) + 0.3)), 6) AS composite
-    FROM (SELECT id, {PAR} AS k FROM {ART} a WHERE artifact_type = 'curated_document') u LEFT JOIN (SELECT id, {PAR} AS p FROM {ART} a WHERE artifact_type = 'cleaned_document') c ON c.id = u.k
-    LEFT JOIN (SELECT id, metadata FROM {ART} a WHERE artifact_type = 'parsed_document') p ON p.id = c.p LEFT JOIN {child('enriched_document')} e ON e.parent = u.k""")
-def composite_quality(t):
-    return R.composite(t("artifacts"))
-
-
 @book.add("SELECT user_id, count(*) FILTER (event_type = 'view') AS view, count(*) FILTER (event_type = 'click') AS click, count(*) FILTER (event_type = 'error') AS error, count(*) FILTER (event_type = 'purchase') AS purchase, count(*) FILTER (event_type = 'signup') AS signup FROM events GROUP BY user_id")
-def crawl_job_states(t):
+def events_by_type(t):
+    """Pivoted counts with 0 for what is missing, the form of the crawl state counts."""
     kinds = ["view", "click", "error", "purchase", "signup"]
     return t("events").groupBy("user_id").agg(*[F.count_if(F.col("event_type") == k).alias(k) for k in kinds])
 
@@ -203,11 +172,6 @@ def events_session(t):
     return s.select("user_id", F.col("w.start").alias("started"), "n")
 
 
-@book.add(f"""SELECT id, CASE WHEN last_content_hash IS NULL THEN 'fetch_new' WHEN last_crawled_at IS NULL OR last_crawled_at < TIMESTAMPTZ '2025-06-01 00:00:00+00' - INTERVAL 30 DAY THEN 'refetch_stale' ELSE 'skip_unchanged' END AS decision FROM {SRC} s""")
-def recrawl_decision(t):
-    return R.recrawl(t("sources"), "2025-06-01 00:00:00")
-
-
 _ID = r"regexp_replace(lower({0}), '^[\s\p{{Z}}]+|[\s\p{{Z}}]+$', '', 'g')"
 
 
@@ -244,7 +208,8 @@ def wiki_manifest_diff(t):
 @book.add(f"""WITH s AS (SELECT parsed_id, page_count, CAST(unnest(range(len(sections))) AS INT) AS section_no, unnest(sections) AS sec FROM {PARSED} p),
     n AS (SELECT parsed_id, page_count, section_no, len(regexp_extract_all(coalesce(sec.section_path, ''), '[.]')) + 1 AS level, sec.page AS page_start, coalesce(sec.is_table, false) AS is_table FROM s)
     SELECT parsed_id, section_no, CAST(level AS BIGINT) AS level, (SELECT max(m.section_no) FROM n m WHERE m.parsed_id = n.parsed_id AND m.section_no < n.section_no AND m.level < n.level AND NOT m.is_table) AS parent_no, page_start,
-    CASE WHEN is_table THEN page_start ELSE coalesce((SELECT greatest(n.page_start, min_by(m.page_start, m.section_no) - 1) FROM n m WHERE m.parsed_id = n.parsed_id AND m.section_no > n.section_no AND m.level <= n.level), greatest(page_start, page_count)) END AS page_end FROM n""")
+    CASE WHEN is_table THEN page_start WHEN EXISTS (SELECT 1 FROM n m WHERE m.parsed_id = n.parsed_id AND m.section_no > n.section_no AND m.level <= n.level)
+    THEN (SELECT greatest(n.page_start, min_by(m.page_start, m.section_no) - 1) FROM n m WHERE m.parsed_id = n.parsed_id AND m.section_no > n.section_no AND m.level <= n.level) ELSE greatest(page_start, page_count) END AS page_end FROM n""")
 def tree_nodes(t):
     return R.tree_nodes(t("parsed_docs"))
 
@@ -255,25 +220,10 @@ def tree_coverage(t):
     return t("parsed_docs").join(trees, "parsed_id", "left").select("parsed_id", (F.size("sections") > 0).alias("has_sections"), F.coalesce("tree", F.lit(False)).alias("has_index"))
 
 
-@book.add(f"SELECT artifact_type, count(*) AS n FROM {ART} a WHERE id LIKE 'chk\\_%' ESCAPE '\\' GROUP BY artifact_type")
-def id_prefix(t):
-    return t("artifacts").where(F.col("id").startswith("chk_")).groupBy("artifact_type").agg(F.count(F.lit(1)).alias("n"))
-
-
-@book.add(f"SELECT id, s3 AS key FROM (SELECT id, regexp_extract(storage_uri, '^s3://[^/]+/(.+)$', 1) AS s3 FROM {ART} a WHERE storage_uri IS NOT NULL)")
+@book.add(f"SELECT id, nullif(s3, '') AS key, s3 <> '' AS valid FROM (SELECT id, regexp_extract(storage_uri, '^s3://[^/]+/(.+)$', 1) AS s3 FROM {ART} a WHERE storage_uri IS NOT NULL)")
 def uri_to_key(t):
-    return t("artifacts").where(F.col("storage_uri").isNotNull()).select("id", F.regexp_extract("storage_uri", r"^s3://[^/]+/(.+)$", 1).alias("key"))
-
-
-@book.add(f"SELECT count(*) AS total, count(DISTINCT chunk_id) AS points, count(*) = count(DISTINCT chunk_id) AS parity FROM {CH} c")
-def reindex_parity(t):
-    c = t("chunks").groupBy("chunk_id").agg(F.count(F.lit(1)).alias("n")).agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("points"))
-    return c.select("total", "points", (F.col("total") == F.col("points")).alias("parity"))
+    key = F.nullif(F.regexp_extract("storage_uri", r"^s3://[^/]+/(.+)$", 1), F.lit(""))
+    return t("artifacts").where(F.col("storage_uri").isNotNull()).select("id", key.alias("key"), key.isNotNull().alias("valid"))
 
 
-@book.add(f"""SELECT id, CASE WHEN metadata IS NULL OR json_extract(metadata, '$.flags') IS NULL THEN true ELSE false END AS kept FROM {ART} a WHERE artifact_type = 'cleaned_document'""")
-def flag_skip(t):
-    flags = F.get_json_object("metadata", "$.flags")
-    missing = ~F.coalesce(F.array_contains(F.json_object_keys("metadata"), "flags"), F.lit(False))
-    return t("artifacts").where(F.col("artifact_type") == "cleaned_document").select("id", (missing & flags.isNull()).alias("kept"))
 
