@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..runtime import cut
+
 #: Query vectors that are searched at once.
 QUERIES = 1024
 WORD = r"([\p{L}\p{N}]+)"
@@ -17,16 +19,17 @@ WORD = r"([\p{L}\p{N}]+)"
 def dense_topk(points: DataFrame, queries: DataFrame, *, k: int, id: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """(query_id, id, score, rank): the k points of highest cosine to each query, ties by id; a query is no hit of its own.
 
-    Queries are taken in blocks of QUERIES vectors; each task keeps k candidates per query and batch, so what is shuffled is
-    at most k rows per query and batch. Null vectors and vectors of another length than the query's give no hits.
+    Queries are taken in as many hash blocks as QUERIES vectors each need; each task keeps k candidates per query and batch, so what
+    is shuffled is at most k rows per query and batch. Null vectors and vectors of another length than the query's give no
+    hits, nor do vectors of zeros.
     """
-    spark = points.sparkSession
-    ids = [r[0] for r in queries.select(id).where(F.col(vector).isNotNull()).distinct().orderBy(id).collect()]
+    spark, kind = points.sparkSession, dict(points.dtypes)[id]
+    asked = queries.select(F.col(id).alias("id"), F.col(vector).alias("v")).where(F.col("v").isNotNull()).dropDuplicates(["id"])
     slim = points.select(F.col(id).alias("id"), F.col(vector).alias("v")).where(F.col("v").isNotNull())
     found = None
-    for at in range(0, max(1, len(ids)), QUERIES):
-        some = ids[at : at + QUERIES]
-        rows = queries.where(F.col(id).isin(some)).select(id, vector).dropDuplicates([id]).collect() if some else []
+    blocks = max(1, -(-asked.count() // QUERIES))
+    for n in range(blocks):
+        rows = asked.where(F.pmod(F.xxhash64("id"), F.lit(blocks)) == n).collect()  # QUERIES rows, about
         matrix = np.array([r[1] for r in rows], np.float64) if rows else np.zeros((0, 1))
         matrix /= np.maximum(np.linalg.norm(matrix, axis=1, keepdims=True), 1e-12)
         held = spark.sparkContext.broadcast((np.array([r[0] for r in rows]), matrix))
@@ -40,15 +43,17 @@ def dense_topk(points: DataFrame, queries: DataFrame, *, k: int, id: str = "vec_
                 x = np.vstack(batch["v"].to_numpy()).astype(np.float64)
                 x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
                 own = batch["id"].to_numpy()
+                place = np.argsort(np.argsort(own, kind="stable"), kind="stable")
                 scores = np.round(m @ x.T, 6)
                 scores[names[:, None] == own[None, :]] = -np.inf
-                order = np.lexsort((np.broadcast_to(own, scores.shape), -scores), axis=1)[:, :k]
+                scores[:, ~x.any(axis=1)] = -np.inf
+                order = np.lexsort((np.broadcast_to(place, scores.shape), -scores), axis=1)[:, :k]
                 q, p = np.repeat(names, order.shape[1]), order.ravel()
                 s = np.take_along_axis(scores, order, 1).ravel()
                 keep = np.isfinite(s)
                 yield pd.DataFrame({"query_id": q[keep], "id": own[p][keep], "score": s[keep]})
 
-        part = slim.mapInPandas(search, "query_id bigint, id bigint, score double")
+        part = slim.mapInPandas(search, f"query_id {dict(queries.dtypes)[id]}, id {kind}, score double")
         found = part if found is None else found.unionByName(part)
     return top(found, k)
 
@@ -64,14 +69,16 @@ def terms(rows: DataFrame, id: str, text: str) -> DataFrame:
 
 
 def sparse_topk(texts: DataFrame, queries: DataFrame, *, k: int, id: str, text: str, query: str, query_text: str, k1: float = 1.2, b: float = 0.75) -> DataFrame:
-    """(query_id, id, score, rank) by BM25 over word terms. Statistics count all texts; only query terms are joined."""
+    """(query_id, id, score, rank) by BM25 over word terms. Statistics count all texts; a term carries its text's length, and only
+    query terms are shuffled. Each text is one row."""
     asked = terms(queries, query, query_text).distinct().withColumnRenamed("id", "query_id")
-    lengths = texts.select(F.col(id).alias("id"), F.size(F.regexp_extract_all(F.lower(text), F.lit(WORD), 1)).alias("n")).where(F.col("n") > 0)
-    stats = lengths.agg(F.count(F.lit(1)).alias("total"), F.avg("n").alias("mean"))
-    tf = terms(texts, id, text).join(asked.select("term").distinct(), "term", "left_semi").groupBy("id", "term").agg(F.count(F.lit(1)).alias("tf"))
+    split = texts.select(F.col(id).alias("id"), F.regexp_extract_all(F.lower(text), F.lit(WORD), 1).alias("ws"))
+    stats = split.where(F.size("ws") > 0).agg(F.count(F.lit(1)).alias("total"), F.avg(F.size("ws")).alias("mean"))
+    rows = split.select("id", F.size("ws").alias("n"), F.explode("ws").alias("term"))
+    tf = cut(rows.join(asked.select("term").distinct(), "term", "left_semi").groupBy("id", "n", "term").agg(F.count(F.lit(1)).alias("tf")))
     df = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     weight = F.log(1 + (F.col("total") - F.col("df") + 0.5) / (F.col("df") + 0.5)) * F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("n") / F.col("mean")))
-    weighed = tf.join(df, "term").join(lengths, "id").crossJoin(F.broadcast(stats)).select("id", "term", weight.alias("w"))
+    weighed = tf.join(df, "term").crossJoin(F.broadcast(stats)).select("id", "term", weight.alias("w"))
     scored = weighed.join(asked, "term").groupBy("query_id", "id").agg(F.round(F.sum("w"), 6).alias("score"))
     return top(scored, k)
 
