@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import artifacts, exports, relational, retrieval, text
+from . import artifacts, exports, relational, retrieval, text, wiki
 
-MODULES = [artifacts, text, relational, exports, retrieval]
+MODULES = [artifacts, text, relational, exports, retrieval, wiki]
 
 
 def queries():
