@@ -39,9 +39,16 @@ def chunk_sections(docs: DataFrame, *, doc: str = "parsed_id", sections: str = "
     """(doc, ord, section_path, page, text, is_table, oversized) of all sections: heading, blank line, body.
 
     Tables are one chunk however large. section_path gets a suffix .i only where a section has several chunks. Sections
-    without any text but a heading give no chunk. A null path counts as the section's number.
+    without any text but a heading give no chunk. A null path counts as the section's number. A document without sections is one
+    section §1 on page 1 with all of its text, if docs has a column `text`.
     """
-    rows = docs.select(F.col(doc).alias("doc"), F.posexplode(sections).alias("no", "s")).select("doc", "no", "s.*")
+    parts = F.col(sections)
+    if "text" in docs.columns:
+        kinds = docs.schema[sections].dataType.elementType
+        named = {"section_path": F.lit("§1"), "page": F.lit(1), "text": F.col("text"), "is_table": F.lit(False)}
+        whole = F.array(F.struct(*[named.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in kinds.fields]))
+        parts = F.when(F.coalesce(F.size(parts), F.lit(0)) <= 0, whole).otherwise(parts)
+    rows = docs.select(F.col(doc).alias("doc"), F.posexplode(parts).alias("no", "s")).select("doc", "no", "s.*")
     kind = dict(docs.dtypes)[doc]
 
     def build(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -22,6 +22,8 @@ from ..functions import text as X
 from ..runtime import cut, skew_safe_lookup
 
 WORDS, BANDS, ROWS = 5, 9, 13
+#: The largest prime below 2 ** 32.
+PRIME = 4294967291
 #: Counts that order the shingles; more texts than fit only make the order less sharp.
 BUCKETS = 1 << 20
 #: Longer lists of nodes with the same shingle are joined in parts of about this many.
@@ -52,6 +54,21 @@ def band_keys(docs: DataFrame, *, id: str, text: str) -> DataFrame:
     return minima.select("id", F.explode(F.array(*keys)).alias("k")).select("id", "k.band", "k.key")
 
 
+def minhash(docs: DataFrame, *, id: str, text: str = "text", permutations: int = 128) -> DataFrame:
+    """(id, signature): digest of the minima of linear permutations (h * a + b) mod a prime of the shingles' 32-bit hashes.
+
+    Computed within a text's row by expressions, so no shingle is shuffled. Blank texts have none.
+    """
+    w = X.words(F.lower(F.col(text)))
+    rows = docs.select(F.col(id).alias("id"), w.alias("w")).where(F.size("w") > 0)
+    one = lambda i: F.conv(F.substring(F.md5(F.array_join(F.slice("w", i, WORDS), " ")), 1, 8), 16, 10).cast("bigint")
+    hashes = F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.size("w") - WORDS + 1, F.lit(1))), one))
+    rows = rows.select("id", F.explode(F.array(hashes)).alias("h"))
+    least = lambda p: F.array_min(F.transform("h", lambda h: (h * ((p + 1) * F.lit(1000003) % F.lit(2147483647)) + p * F.lit(7919)) % F.lit(PRIME)))
+    minima = F.transform(F.sequence(F.lit(0).cast("bigint"), F.lit(permutations - 1).cast("bigint")), least)
+    return rows.select(F.col("id").alias(id), F.md5(F.array_join(minima.cast("array<string>"), ",")).alias("signature"))
+
+
 def prefixes(sets: DataFrame) -> DataFrame:
     """(node, n, s, pos) of each distinct node's first n // 5 + 1 shingles, rare ones first."""
     bucket = F.col("s").bitwiseAND(F.lit(BUCKETS - 1)).cast("int").alias("bucket")

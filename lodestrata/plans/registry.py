@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import artifacts, exports, relational, retrieval, text, wiki
+from . import artifacts, exports, ingest, relational, retrieval, text, wiki
 
-MODULES = [artifacts, text, relational, exports, retrieval, wiki]
+MODULES = [artifacts, text, relational, exports, ingest, retrieval, wiki]
 
 
 def queries():

@@ -7,7 +7,7 @@ from collections.abc import Iterator
 from urllib.parse import urldefrag, urljoin, urlsplit
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import normalize_url
@@ -55,22 +55,42 @@ def extract_links(pages: DataFrame, *, id: str, url: str, content: str, document
     return pages.select(F.col(id).alias("id"), F.col(url).alias("url"), F.col(content).alias("content")).mapInPandas(run, f"id {kind}, ord int, link string").withColumnRenamed("id", id)
 
 
-def crawl_order(edges: DataFrame, seeds: DataFrame, *, depth: int = 2, most: int = 50) -> DataFrame:
-    """(job, url, level): breadth-first frontier over known links (url, link) from seeds (job, url), `most` pages a job.
+def crawl_order(edges: DataFrame, seeds: DataFrame, *, depth: int = 2, most: int = 50, blocked: DataFrame | None = None, failed: DataFrame | None = None, done: DataFrame | None = None) -> DataFrame:
+    """(job, url, level, status): breadth-first frontier over known links (url, link) from seeds (job, url), `most` pages a job.
 
-    Levels are joins and anti-joins; within the page budget, lower levels and then smaller URLs come first.
+    Levels are joins and anti-joins; within the page budget, lower levels and then smaller URLs come first. Pages of blocked
+    (url) are `robots_blocked`, of failed (url) `failed`: both use up budget but lead nowhere; done (job, url) resumes: what it holds counts as
+    `complete` and is not fetched again. Links beyond the seeds' registrable domains are not followed and cost nothing.
     """
+
+    @F.pandas_udf("string")
+    def home(hosts: pd.Series) -> pd.Series:
+        return hosts.map(registrable, na_action="ignore")
+
+    host = lambda c: F.regexp_extract(c, r"^[^:]+://([^/?#]*)", 1)
+    url = lambda df, c="url": df.select(normalize_url(F.col(c)).alias("url")).distinct()
     out = edges.select(normalize_url(F.col("url")).alias("url"), normalize_url(F.col("link")).alias("link")).distinct()
-    seen = cut(seeds.select("job", normalize_url(F.col("url")).alias("url")).distinct().withColumn("level", F.lit(0)))
+    barred = None
+    for df, status in ((blocked, "robots_blocked"), (failed, "failed")):
+        if df is not None:
+            part = url(df).withColumn("status", F.lit(status))
+            barred = part if barred is None else barred.unionByName(part)
+    barred = barred.groupBy("url").agg(F.max("status").alias("status")) if barred is not None else out.select("url", F.lit("").alias("status")).limit(0)
+    starts = seeds.select("job", normalize_url(F.col("url")).alias("url")).distinct()
+    homes = cut(starts.select("job", home(host("url")).alias("home")).distinct())
+    seen = cut(starts.withColumn("level", F.lit(0)))
     frontier = seen
     for level in range(1, depth + 1):
-        reached = frontier.join(out, "url").select("job", F.col("link").alias("url")).distinct()
+        open_ = frontier.join(barred.select("url"), "url", "left_anti")
+        reached = open_.join(out, "url").select("job", F.col("link").alias("url")).distinct().withColumn("home", home(host("url"))).join(homes, ["job", "home"], "left_semi").select("job", "url")
         frontier = cut(reached.join(seen.select("job", "url"), ["job", "url"], "left_anti").withColumn("level", F.lit(level)))
         seen = seen.unionByName(frontier)
-    from pyspark.sql import Window
-
     rank = F.row_number().over(Window.partitionBy("job").orderBy("level", "url"))
-    return seen.withColumn("k", rank).where(F.col("k") <= most).drop("k")
+    chosen = seen.withColumn("k", rank).where(F.col("k") <= most).drop("k").join(barred, "url", "left")
+    if done is not None:
+        finished = done.select("job", normalize_url(F.col("url")).alias("url"), F.lit("complete").alias("known")).distinct()
+        chosen = chosen.join(finished, ["job", "url"], "left").withColumn("status", F.coalesce("status", "known")).drop("known")
+    return chosen.select("job", "url", "level", F.coalesce("status", F.lit("pending")).alias("status"))
 
 
 def select_crawler(url: Column, html: Column) -> Column:
@@ -79,8 +99,3 @@ def select_crawler(url: Column, html: Column) -> Column:
     scripted = html.rlike(r'(?i)id="(?:root|app|__next)"|ng-app|data-reactroot') & (text < 500) & (F.regexp_count(html, F.lit("(?i)<script")) >= 3)
     return F.when(F.lower(url).rlike(r"sitemap[^/]*\.xml$"), "spider").when(scripted, "browser").otherwise("static")
 
-
-def crawl_delay(source_rps: Column, robots_delay: Column, default: float, errors: Column) -> Column:
-    """Seconds between fetches: the source's rate, else the robots delay, else the default, plus backoff up to 60 s."""
-    base = F.when(source_rps > 0, 1 / source_rps).when(robots_delay > 0, robots_delay).otherwise(F.lit(default))
-    return F.when(errors > 0, F.least(base * F.pow(F.lit(2.0), errors), F.lit(60.0))).otherwise(base)
