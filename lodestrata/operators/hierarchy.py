@@ -40,6 +40,25 @@ def links(rows: DataFrame, *, id: str = "id", parent: str = "parent_artifact_id"
     return held.unionByName(nodes.where(F.col("up").isNull()))
 
 
+def _crowded(rest: DataFrame, n: int) -> DataFrame | None:
+    """The values of rest.up that at least a HOT_PARTS-th of its n rows have, so HOT_PARTS at most; null if there are none."""
+    least = max(1000.0, n / HOT_PARTS)
+    if n < least:
+        return None
+    found = cut(rest.groupBy("up").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least).select("up"))
+    return found if found.take(1) else None
+
+
+def _through(table: DataFrame, rest: DataFrame, crowded: DataFrame | None) -> DataFrame:
+    """rest joined with the table's columns, named up_..., through rest.up = table.key; the table's keys are unique. Rows of a
+    crowded key stay where they are and are told the key's one row; the others are shuffled."""
+    f = table.select(F.col("key").alias("up"), *[F.col(c).alias(f"up_{c}") for c in table.columns if c not in ("key", "id")])
+    if crowded is None:
+        return rest.join(f, "up")
+    hot = f.join(F.broadcast(crowded), "up", "left_semi")
+    return rest.join(F.broadcast(hot), "up").unionByName(rest.join(F.broadcast(crowded), "up", "left_anti").join(f.join(F.broadcast(crowded), "up", "left_anti"), "up"))
+
+
 def hierarchy(rows: DataFrame, *, id: str = "id", parent: str = "parent_artifact_id", with_path: bool = False) -> DataFrame:
     """One row (id, root_id, node_depth[, path]) per id of a parent-child table.
 
@@ -49,18 +68,8 @@ def hierarchy(rows: DataFrame, *, id: str = "id", parent: str = "parent_artifact
     """
     nodes = cut(links(rows, id=id, parent=parent))
     total = nodes.count()
-    fan = nodes.where(F.col("up").isNotNull()).groupBy("up").agg(F.count(F.lit(1)).alias("n"))
-    # At most HOT_PARTS nodes can have this many children; their children are never shuffled by parent.
-    crowded = cut(fan.where(F.col("n") >= max(1000.0, total / HOT_PARTS)).select("up"))
-    n_crowded = crowded.count()
-
-    def below(frontier: DataFrame, rest: DataFrame) -> DataFrame:
-        """rest joined with the frontier's columns through rest.up = frontier.key; the frontier's keys are unique."""
-        f = frontier.select(F.col("key").alias("up"), *[F.col(c).alias(f"up_{c}") for c in frontier.columns if c not in ("key", "id")])
-        if not n_crowded:
-            return rest.join(f, "up")
-        hot = f.join(F.broadcast(crowded), "up", "left_semi")
-        return rest.join(F.broadcast(hot), "up").unionByName(rest.join(F.broadcast(crowded), "up", "left_anti").join(f.join(F.broadcast(crowded), "up", "left_anti"), "up"))
+    crowded = _crowded(nodes.where(F.col("up").isNotNull()), total)
+    below = lambda frontier, rest: _through(frontier, rest, crowded)
 
     name = F.coalesce("id", "key")
     path = [F.array(name).alias("path")] if with_path else []
@@ -92,9 +101,10 @@ def hierarchy(rows: DataFrame, *, id: str = "id", parent: str = "parent_artifact
         n_open = open_.count()
         if not n_open:
             break
-        hit = below(solved, open_)
+        # Far ancestors are shared by more nodes than direct parents: who is crowded is asked anew in every round.
+        full = _crowded(open_, n_open)
+        hit = _through(solved, open_, full)
         new = cut(hit.select("key", "id", F.col("up_root_id").alias("root_id"), (F.col("up_node_depth") + F.col("far")).alias("node_depth"), *([F.concat("up_path", "trail").alias("path")] if with_path else [])))
-        new = cut(new)
         gone = new.count()
         solved = solved.unionByName(new)
         if not gone and rounds:
@@ -102,19 +112,20 @@ def hierarchy(rows: DataFrame, *, id: str = "id", parent: str = "parent_artifact
             break
         every = open_
         open_ = every.join(new.select("key"), "key", "left_anti") if gone else every
-        far = every.select(F.col("key").alias("up"), F.col("up").alias("_up"), F.col("far").alias("_far"), F.col("least").alias("_least"), *([F.col("trail").alias("_trail")] if with_path else []))
-        open_ = cut(open_.join(far, "up").select("key", "id", F.col("_up").alias("up"), (F.col("far") + F.col("_far")).alias("far"), F.least("least", "_least").alias("least"), *([F.concat("_trail", "trail").alias("trail")] if with_path else [])))
+        far = every.select("key", F.col("up").alias("up"), "far", "least", *(["trail"] if with_path else []))
+        open_ = cut(_through(far, open_, full).select("key", "id", F.col("up_up").alias("up"), (F.col("far") + F.col("up_far")).alias("far"), F.least("least", "up_least").alias("least"), *([F.concat("up_trail", "trail").alias("trail")] if with_path else [])))
         rounds += 1
     n_open = open_.count()
     looped = None
     if n_open:
         open_ = open_.select("key", "id", "up", "least")
         for _ in range(rounds, max(rounds, math.ceil(math.log2(n_open))) + 1):
-            far = open_.select(F.col("key").alias("up"), F.col("up").alias("_up"), F.col("least").alias("_least"))
-            open_ = cut(open_.join(far, "up").select("key", "id", F.col("_up").alias("up"), F.least("least", "_least").alias("least")))
+            far = open_.select("key", "up", "least")
+            open_ = cut(_through(far, open_, _crowded(open_, n_open)).select("key", "id", F.col("up_up").alias("up"), F.least("least", "up_least").alias("least")))
         # After at least as many steps as there are nodes everyone's ancestor lies on a loop, and every loop node is reached.
         on_loop = cut(open_.join(open_.select(F.col("up").alias("key")).distinct(), "key", "left_semi"))
-        named = open_.select("key", "id", "up").join(on_loop.select(F.col("key").alias("up"), F.coalesce("least.id", "least.key").alias("root_id")), "up")
+        loops = on_loop.select("key", F.coalesce("least.id", "least.key").alias("root_id"))
+        named = _through(loops, open_.select("key", "id", "up"), _crowded(open_, n_open)).withColumnRenamed("up_root_id", "root_id")
         nulls = [F.lit(None).cast("array<string>").alias("path")] if with_path else []
         looped = named.join(on_loop.select("key", F.lit(-1).alias("_on")), "key", "left").select("key", "id", "root_id", F.coalesce("_on", F.lit(-2)).alias("node_depth"), *nulls)
     everything = reached.unionByName(solved)

@@ -60,3 +60,12 @@ def test_paths_and_descendants(spark):
 def test_hot_parent(spark):
     pairs = [("root", None)] + [(f"k{i}", "root") for i in range(3000)]
     assert run(spark, pairs) == brute(pairs)
+
+
+def test_crowds_below_a_loop_and_a_deep_node(spark):
+    """Chains that lead into one loop, and under one deep node: their far ancestors are hot, their direct parents are not."""
+    chain = lambda name, top, n: [(f"{name}{k}", f"{name}{k - 1}" if k else top) for k in range(n)]
+    pairs = [("la", "lb"), ("lb", "la"), *chain("deep", None, 12)]
+    for i in range(400):
+        pairs += chain(f"x{i:03d}_", "la", 4) + chain(f"y{i:03d}_", "deep11", 4)
+    assert run(spark, pairs) == brute(pairs)
