@@ -12,11 +12,15 @@ retrieval is lossless with the threshold 1 for all fields:
 * fields in opened blocks are scored through their postings, and all that reach 1 are retrieved.
 
 Passages of a batch are evaluated together with numpy. Retrieved pairs are verified: they must share `run` words in a row.
+
+The index is broadcast. What counts is its size as built and serialised: items are put into as many hash blocks as keep every
+index below BUILT_BYTES, measured, not estimated, and the corpus is searched once for each block.
 """
 
 from __future__ import annotations
 
 import math
+import pickle
 from collections import Counter
 from collections.abc import Iterator
 
@@ -31,14 +35,22 @@ PASSAGE = 64
 BLOCK = 16
 K1, B = 1.2, 0.75
 SLACK = 1e-4
-#: Bytes of test items that one index may hold; more are indexed and searched in several rounds.
-INDEX_BYTES = 32 << 20
+#: Bytes that one serialised index may have; more items are indexed and searched in several rounds.
+BUILT_BYTES = 128 << 20
+#: Serialised bytes expected of a byte of item text: decides on how many blocks to begin with.
+EXPECTED = 4
+#: Fields whose windows a task keeps at hand.
+FIELDS_AT_HAND = 4096
 #: Words of training text that are searched at once within a task.
 AT_ONCE = 200_000
 
 SCHEMA = "item_id bigint, doc string, field string, score double"
 
 
+def runs(text: np.ndarray, run: int) -> set[bytes]:
+    return {text[i : i + run].tobytes() for i in range(len(text) - run + 1)}
+
+
 class BlockMaxIndex:
     """BM25 postings of test item fields with list-wise and block-wise upper bounds."""
 
@@ -46,10 +58,11 @@ class BlockMaxIndex:
         fields = sorted((f for f in fields if len(f[2]) >= run), key=lambda f: (f[2], f[0], f[1]))
         self.run, self.owner = run, [(i, name) for i, name, _ in fields]
         vocabulary: dict[str, int] = {}
-        texts = [np.array([vocabulary.setdefault(w, len(vocabulary)) for w in ws], np.int64) for _, _, ws in fields]
+        texts = [np.array([vocabulary.setdefault(w, len(vocabulary)) for w in ws], np.int32) for _, _, ws in fields]
         self.vocabulary = vocabulary
         n, v = len(fields), len(vocabulary)
-        self.windows = [{t[i : i + run].tobytes() for i in range(len(t) - run + 1)} for t in texts]
+        self.texts = texts
+        self._windows: dict[int, set[bytes]] = {}
         frequency = Counter(int(w) for t in texts for w in set(t.tolist()))
         mean = sum(map(len, texts)) / max(1, n)
         terms, docs, weights = [], [], []
@@ -65,7 +78,7 @@ class BlockMaxIndex:
                 weights.append(x / least)
         order = np.lexsort((docs, terms)) if terms else np.zeros(0, np.int64)
         self.docs = np.array(docs, np.int32)[order]
-        self.weights = np.array(weights, np.float64)[order]
+        self.weights = np.array(weights, np.float32)[order]
         terms_sorted = np.array(terms, np.int64)[order]
         self.blocks = -(-n // BLOCK)
         # (term, block) cells in order, with their first posting and their largest weight.
@@ -76,6 +89,15 @@ class BlockMaxIndex:
         self.term_start = np.searchsorted(self.cell, np.arange(v + 1) * max(1, self.blocks))
         self.term_max = np.array([self.cell_max[a:b].max() for a, b in zip(self.term_start[:-1], self.term_start[1:])]) if v else np.zeros(0)
 
+    def windows(self, d: int) -> set[bytes]:
+        """All runs of words of a field, made when a passage first asks for them."""
+        found = self._windows.get(d)
+        if found is None:
+            if len(self._windows) >= FIELDS_AT_HAND:
+                self._windows.clear()
+            found = self._windows[d] = runs(self.texts[d], self.run)
+        return found
+
     @staticmethod
     def _spread(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All positions of the ranges, and for each the number of its range."""
@@ -128,31 +150,35 @@ class BlockMaxIndex:
         windows: tuple[int, set[bytes]] = (-1, set())
         for p, d, score in zip(*map(np.ndarray.tolist, self.retrieve(pairs // len(self.vocabulary), pairs % len(self.vocabulary)))):
             if p != windows[0]:
-                x = parts[p]
-                windows = (p, {x[i : i + run].tobytes() for i in range(len(x) - run + 1)})
-            if not windows[1].isdisjoint(self.windows[d]):
+                windows = (p, runs(parts[p].astype(np.int32), run))
+            if not windows[1].isdisjoint(self.windows(d)):
                 best[starts[p][0], d] = max(score, best.get((starts[p][0], d), 0.0))
         for (t, d), score in best.items():
             yield t, d, score
 
 
-def leaked_items(corpus: DataFrame, items: DataFrame, *, doc: str, text: str, item: str = "item_id", fields: tuple[str, ...] = ("question", "answer"), run: int = 12) -> DataFrame:
+def leaked_items(corpus: DataFrame, items: DataFrame, *, doc: str, text: str, item: str = "item_id", fields: tuple[str, ...] = ("question", "answer"), run: int = 12, built_bytes: int = BUILT_BYTES) -> DataFrame:
     """One row (item_id, doc, field, score) for each item field of which doc's text holds `run` consecutive words.
 
     score is the passage's BM25 score relative to the field's threshold. Null texts and fields, and fields or texts of fewer
     than `run` words, give nothing; rows delivered twice give their pairs once; other columns are ignored. Rows whose item or
-    doc is null are left out. If the items exceed INDEX_BYTES, they are searched in rounds of as many hash blocks.
+    doc is null are left out. If their index exceeds built_bytes, they are searched in rounds of hash blocks.
     """
     spark = corpus.sparkSession
     slim = items.select(F.col(item).cast("bigint").alias("_item"), *[F.col(f).alias(f) for f in fields]).where(F.col("_item").isNotNull()).distinct()
     size = slim.agg(F.sum(sum(F.coalesce(F.octet_length(f), F.lit(0)) for f in fields))).first()[0] or 0
-    rounds = max(1, -(-int(size) // INDEX_BYTES))
-    found = None
+    rounds = max(1, -(-int(size) * EXPECTED // built_bytes))
     source = corpus.select(F.col(doc).cast("string").alias("doc"), F.col(text).alias("text")).where(F.col("text").isNotNull() & F.col("doc").isNotNull())
-    for k in range(rounds):
+    found, k = None, 0
+    while k < rounds:
         block = slim if rounds == 1 else slim.where(F.pmod(F.xxhash64("_item"), F.lit(rounds)) == k)
-        rows = block.collect()  # INDEX_BYTES of text, about
-        index = spark.sparkContext.broadcast(BlockMaxIndex([(r["_item"], f, words(r[f])) for r in rows for f in fields], run))
+        rows = block.collect()  # built_bytes / EXPECTED of text, about
+        built = BlockMaxIndex([(r["_item"], f, words(r[f])) for r in rows for f in fields], run)
+        if len(rows) > 1 and len(pickle.dumps(built, pickle.HIGHEST_PROTOCOL)) > built_bytes:
+            found, k, rounds = None, 0, rounds * 2
+            continue
+        k += 1
+        index = spark.sparkContext.broadcast(built)
 
         def search(batches: Iterator[pd.DataFrame], index=index) -> Iterator[pd.DataFrame]:
             def flush(docs: list[str], texts: list[list[str]]) -> pd.DataFrame:

@@ -103,6 +103,8 @@ def test_leaks(spark):
     corpus = spark.createDataFrame([("a", f"intro {run} end"), ("b", " ".join(f"w{i}" for i in range(11))), ("c", None), ("d", f"X {' '.join(f'W{i}' for i in range(3, 16))}"), ("a", f"intro {run} end")], "doc string, text string")
     got = {(r["item_id"], r["doc"], r["field"]) for r in leakage.leaked_items(corpus, items, doc="doc", text="text").collect()}
     assert got == {(1, "a", "question"), (2, "a", "answer"), (1, "d", "question"), (2, "d", "answer")}
+    small = {(r["item_id"], r["doc"], r["field"]) for r in leakage.leaked_items(corpus, items, doc="doc", text="text", built_bytes=900).collect()}
+    assert small == got  # in rounds
     assert leakage.leaked_items(corpus, items.limit(0), doc="doc", text="text").count() == 0
     assert leakage.leaked_items(corpus.limit(0), items, doc="doc", text="text").count() == 0
 
