@@ -41,6 +41,8 @@ FIXED = 0.5
 MOST_REPEATED = 200_000
 #: Tokens that are ranked at once within a task.
 AT_ONCE = 400_000
+#: Pages whose lines are described at once.
+PAGES = 256
 _FIGURE = re.compile(r"[a-z]{0,2}-?\d[\d.,-]*")
 _LINK = re.compile(r"https?://[^\s)]*")
 _UNSPACED = re.compile(r"([฀-໿က-႟ក-៿぀-ヿ㐀-鿿])")
@@ -52,12 +54,13 @@ NOTICE, GAP, HEAD, BODY, HEADING, ITEM, LINKED, SHORT, ROW = (1 << k for k in ra
 _LINES = "page string, lines array<struct<no:int,flags:int,n:int,opening:bigint,more:array<bigint>>>"
 
 
-def tokens(line: str) -> list[str]:
-    """Masked tokens of a folded line; characters of scripts without spaces are tokens."""
-    line = _FIGURE.sub("0", _LINK.sub("link", line))
-    if not line.isascii():
-        line = _UNSPACED.sub(r" \1 ", line)
-    return line.split()
+def tokens(lines: list[str]) -> list[list[str]]:
+    """Masked tokens of each folded line; characters of scripts without spaces are tokens."""
+    text = "\n".join(lines)
+    text = _FIGURE.sub("0", _LINK.sub("link", text) if "://" in text else text)
+    if not text.isascii():
+        text = _UNSPACED.sub(r" \1 ", text)
+    return [line.split(" ") if "  " not in line and line[:1] != " " and line[-1:] != " " else line.split() for line in text.split("\n")]
 
 
 class Streams:
@@ -78,11 +81,11 @@ class Streams:
             found = self._known[token] = xxhash.xxh64_intdigest(token) | 2
         return found
 
-    def add(self, page: int, lines: list[str]) -> None:
-        """Folded lines that are not blank."""
+    def add(self, page: int, lines: list[list[str]]) -> None:
+        """The tokens of lines that are not blank."""
         known, slow = self._known, self._hash
         for line in lines:
-            row = [known.get(t) or slow(t) for t in tokens(line)]
+            row = [known.get(t) or slow(t) for t in line]
             self.starts.append(len(self.hashes))
             self.lengths.append(len(row) + 1)
             self.pages.append(page)
@@ -116,9 +119,11 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return (x ^ (x >> np.uint64(29))).view(np.int64)
 
 
-def _page_lines(text: str) -> tuple[list[int], list[str]]:
+def _page_lines(text: str) -> tuple[list[int], list[str], list[list[str]]]:
+    """Numbers of the lines that are not blank, folded lines, and their tokens."""
     lines = [(i, f) for i, line in enumerate(text.split("\n")) if (f := folded(line))]
-    return [i for i, _ in lines], [f for _, f in lines]
+    texts = [f for _, f in lines]
+    return [i for i, _ in lines], texts, tokens(texts) if texts else []
 
 
 def _openings(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -147,7 +152,7 @@ def _openings(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         for host, body, weight in zip(batch["host"], batch["text"], batch["weight"]):
             before = len(streams.hashes)
-            streams.add(len(hosts), _page_lines(body)[1])
+            streams.add(len(hosts), _page_lines(body)[2])
             streams.sizes.append(len(streams.hashes) - before)
             hosts.append(host)
             weights.append(weight)
@@ -158,11 +163,16 @@ def _openings(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     yield from flush(streams, hosts, weights)
 
 
-def _flags(raw: list[str], numbers: list[int], texts: list[str], title: str | None, headings: list[str | None] | None, notices: bool) -> list[int]:
+def _flags(raw: list[str], numbers: list[int], texts: list[str], words: list[list[str]], title: str | None, headings: list[str | None] | None, notices: bool) -> list[int]:
     heads = {folded(h).lstrip("# ") for h in [title, *([] if headings is None else headings)] if h}
     first = next((k for k, t in enumerate(texts) if t.startswith("#") or t in heads), 0)
     titled = title and any(t.lstrip("# ") == folded(title).lstrip("# ") for t in texts)
-    marked = furniture(raw, title) if notices else set()
+    marked: set[int] = set()
+    if notices:
+        every = [""] * len(raw)
+        for i, t in zip(numbers, texts):
+            every[i] = t
+        marked = furniture(raw, title, texts=every)
     flags = []
     for k, (i, t) in enumerate(zip(numbers, texts)):
         f = NOTICE * (i in marked) | GAP * (not k or numbers[k - 1] != i - 1) | HEAD * (k < first)
@@ -175,7 +185,7 @@ def _flags(raw: list[str], numbers: list[int], texts: list[str], title: str | No
             f |= LINKED if _LINK_ITEM.search(t) else ITEM * bool(m and t.count(" * ") < 1)
         elif len(t) <= 60 and not SENTENCE_END.search(t):
             f |= SHORT
-        if not f & (NOTICE | HEAD | BODY | LINKED) and is_row(raw[i], t):
+        if not f & (NOTICE | HEAD | BODY | LINKED) and is_row(raw[i], t, words[k]):
             f |= ROW
         flags.append(f)
     if not titled and first and not texts[first].startswith("# ") and flags[first] & flags[first - 1] & GAP:
@@ -183,11 +193,10 @@ def _flags(raw: list[str], numbers: list[int], texts: list[str], title: str | No
     return flags
 
 
-def is_row(raw: str, line: str) -> bool:
+def is_row(raw: str, line: str, words: list[str]) -> bool:
     """Whether the line is a row of cells or of items, or letters set apart, rather than text."""
     if SENTENCE_END.search(line) and len(line) > 60:
         return False
-    words = tokens(line)
     lettered = sum(w[0].isalpha() or w[0] in "(\"'[§#©" for w in words)
     return 2 * lettered <= len(words) or ";" in line[:-1] or line.isascii() and len(line) < 2.5 * len(words) or cells(raw) > 1
 
@@ -255,12 +264,12 @@ def furniture_lines(pages: DataFrame, *, page: str = "parsed_id", host: str = "s
     openings = cut(openings.where(F.col("everywhere") > 1.5).select(F.col("rank").alias("opening"), run.alias("run"), "starts"))
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for batch in (whole.iloc[at : at + PAGES] for whole in batches for at in range(0, len(whole), PAGES)):
             streams, every = Streams(), []
             for k, (body, head, headings) in enumerate(zip(batch["text"], batch["title"], batch["headings"])):
-                numbers, texts = _page_lines(body)
-                streams.add(k, texts)
-                every.append((numbers, _flags(body.split("\n"), numbers, texts, head, headings, notices)))
+                numbers, texts, words = _page_lines(body)
+                streams.add(k, words)
+                every.append((numbers, _flags(body.split("\n"), numbers, texts, words, head, headings, notices)))
             starts, lengths = np.array(streams.starts, np.int64), np.array(streams.lengths, np.int64)
             steps: list[list[int]] = [[] for _ in starts]
             for n, rank in streams.ranks():

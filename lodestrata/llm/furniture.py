@@ -41,6 +41,8 @@ LINK_ITEM = re.compile(
 
 
 def folded(line: str) -> str:
+    if line.isascii():
+        return " ".join(line.split()).lower()
     return _GAP.sub(" ", line).strip().lower()
 
 
@@ -56,11 +58,11 @@ def is_block_item(line: str) -> bool:
     return bool(LINK_ITEM.match(line)) or len(line) <= 40 and line.count(" ") <= 4 and not set(";,\t|") & set(line)
 
 
-def furniture(lines: list[str], title: str | None = None, page: bool = True) -> set[int]:
+def furniture(lines: list[str], title: str | None = None, page: bool = True, texts: list[str] | None = None) -> set[int]:
     """Numbers of the lines that look like page furniture: notices anywhere, link blocks with their heading, and, if
-    `page`, whatever stands before the title. Blank lines end a link block and are never furniture."""
+    `page`, whatever stands before the title. Blank lines end a link block and are never furniture. texts: the lines folded, if at hand."""
     found: set[int] = set()
-    texts = [folded(line) for line in lines]
+    texts = [folded(line) for line in lines] if texts is None else texts
     if page:
         wanted = folded(title) if title else None
         first = next((i for i, t in enumerate(texts) if t.startswith("#") or wanted and t.lstrip("# ") == wanted), None)

@@ -46,8 +46,8 @@ def test_boilerplate_without_phrases(spark):
 
 def test_ranks_agree_with_tokens():
     streams = boilerplate.Streams()
-    streams.add(0, ["a b c d e f g", "a b c d e f h", "x"])
-    streams.add(1, ["x", "a b c"])
+    streams.add(0, boilerplate.tokens(["a b c d e f g", "a b c d e f h", "x"]))
+    streams.add(1, boilerplate.tokens(["x", "a b c"]))
     levels = {n: r for n, r in zip((3, 6), (r for _, r in streams.ranks()))}
     a, b, x, y, c = streams.starts
     assert levels[3][a] == levels[3][b] == levels[3][c] and levels[6][a] == levels[6][b] != levels[6][c] and levels[3][x] == levels[3][y] != levels[3][a]
