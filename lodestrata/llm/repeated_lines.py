@@ -3,7 +3,8 @@
 A line counts as recurring if it occurs in at least `least_docs` documents and at least `least_share` of the source's
 documents. Per source, a line's documents are a bitmap cut into containers of 32,768 document numbers (4 kB each; only
 containers that hold a document exist). Variants of a line (spelling in upper case, spaces) have bitmaps of their own,
-which are united; the united bitmap's exact cardinality decides, and a document's line is deleted if its bit is set.
+which are united; the united bitmap's exact cardinality decides which lines go. The rows of such a line are those whose bits made the
+bitmap, so they are taken by the line, without testing bit by bit.
 
 Only lines that occur often enough to possibly pass get bitmaps: a line's rows, counted by hash with partial aggregation,
 are at least as many as its documents. A source has at most 1 / least_share times its mean number of lines per document

@@ -213,4 +213,7 @@ def sentences(documents: DataFrame, *, id: str = "doc_id", text: str = "text", w
             out = {"id": pd.Series(ids, dtype=batch["id"].dtype), "start_char": starts, "end_char": ends}
             yield pd.DataFrame(out | ({"sentence": texts} if with_text else {}))
 
-    return documents.select(F.col(id).alias("id"), F.col(text).alias("text")).where(F.col("text").isNotNull()).distinct().mapInPandas(split, schema).withColumnRenamed("id", id)
+    rows = documents.select(F.col(id).alias("id"), F.col(text).alias("text")).where(F.col("text").isNotNull())
+    # Repeated rows fall together as texts if texts come out, else as offsets, which are less to shuffle.
+    units = rows.distinct().mapInPandas(split, schema) if with_text else rows.mapInPandas(split, schema).distinct()
+    return units.withColumnRenamed("id", id)
