@@ -51,9 +51,12 @@ REFERENCE = re.compile(r"([.!?…。！？।؟۔][\"'”’»)]*)\s*[(\[（][^(
 _PAIRS = {"(": ")", "[": "]", "{": "}", "«": "»", "“": "”", "„": "“", "「": "」", "（": "）"}
 
 
+_MARKS = re.compile(r"[\W_]+")
+
+
 def _bare(text: str) -> str:
     """Letters and figures only, NFKC and case-folded."""
-    return "".join(c for c in unicodedata.normalize("NFKC", text).casefold() if c.isalnum())
+    return _MARKS.sub("", text.lower() if text.isascii() else unicodedata.normalize("NFKC", text).casefold())
 
 
 def _visible(text: str) -> str:
@@ -77,6 +80,10 @@ def is_copy(prompt: str | None, answer: str) -> bool:
     wanted = _bare(prompt or "")
     if len(wanted) < 4:
         return False
+    # What is left when labels go can hold the prompt only if it is all in the answer, or its beginning in one that is hardly longer.
+    whole = _bare(answer)
+    if wanted not in whole and not (len(whole) < len(wanted) + 40 and wanted[:4] in whole):
+        return False
     text = answer.strip(" \t\r\n\"'“”«»*_`>([{")
     for candidate in (text, LABEL.sub("", text, count=1), LABEL.sub("", text)):
         given = _bare(candidate)
