@@ -36,7 +36,7 @@ def test_boilerplate_without_phrases(spark):
     rows, want = [], set()
     for i in range(60):
         body = [" ".join(["the office keeps", *rng.sample(words, 30), "and the office keeps", *rng.sample(words, 9)]) + "." for _ in range(3)]
-        lines = ["Xanthe quorl", "Vimble torvo", "", f"# {words[i]} {words[i + 1]}", "", *body, f"Zorble wexit {i} frap the lorn dup", "", "## Spare heading", " ".join(rng.sample(words, 12)) + ".", f"Drum gax {words[i]} of lim pex tor vell"]
+        lines = ["Xanthe quorl", "Vimble torvo", "", f"# {words[i]} {words[i + 1]}", "", *body, f"Zorble wexit {i} frap the lorn dup", "", "## Spare heading", " ".join(rng.sample(words, 12)) + ".", f"Drum gax lim {words[i]} of pex tor vell"]
         want |= {(f"p{i}", n) for n in (0, 1, 8, 12)}
         rows.append((f"p{i}", f"h{i % 3}", "\n".join(lines), f"{words[i]} {words[i + 1]}", [("x", None)]))
     made = docs(spark, rows).withColumn("sections", F.transform("sections", lambda s: s.withField("heading", F.lit("Spare heading"))))
