@@ -26,7 +26,7 @@ def once(value: Column) -> Column:
 
 def signals(text: Column) -> Column:
     """The ratios of the substance checks as a struct."""
-    return F.struct(X.token_count(text).alias("tokens"), X.alpha_ratio(text).alias("alpha"), X.n_words(text).alias("words"), F.regexp_count(text, F.lit(X.LINK)).alias("links"), X.stopword_ratio(text).alias("stops"), F.regexp_count(text, F.lit(X.TERMINAL)).alias("ends"))
+    return F.struct(X.token_count(text).alias("tokens"), X.alpha_ratio(text).alias("alpha"), X.n_words(text).alias("words"), F.regexp_count(text, F.lit(X.LINK)).alias("links"), X.stopword_ratio(text).alias("stops"), X.terminal_count(text).alias("ends"))
 
 
 def code_of(s: Column) -> Column:
@@ -118,7 +118,7 @@ def _chars(lines: Column) -> Column:
 def fineweb_code(text: Column) -> Column:
     lines = F.filter(F.transform(F.split(text, "\n", -1), X.strip), lambda x: x != "")
     n = F.size(lines)
-    ended = F.size(F.filter(lines, lambda x: x.rlike(X.TERMINAL + "['\"”’)]*$")))
+    ended = F.size(F.filter(lines, X.ends_sentence))
     short = F.size(F.filter(lines, lambda x: F.char_length(x) <= 30))
     return (
         F.when(text.isNull(), None).when(n == 0, "empty").when(ended / n < 0.12, "line_punct_ratio").when(short / n > 0.67, "short_line_ratio")
